@@ -33,3 +33,12 @@ def outer_fences(text: Column) -> Column:
     """Remove one opening and one closing fence at the ends of the text only."""
     opened = F.regexp_replace(strip(text), r"^```(?:json)?", "")
     return strip(F.regexp_replace(opened, r"```$", ""))
+
+
+def given(*texts: Column) -> Column:
+    """Array of the texts that are not NULL, in order (texts are never empty).
+
+    Not a filter with a lambda: those evaluate their whole input without
+    generated code.
+    """
+    return F.array_remove(F.array(*[F.coalesce(t, F.lit("")) for t in texts]), "")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from duskwatch import schemas
 from duskwatch.functions import scoring as s
+from duskwatch.functions.plan import settled
 from duskwatch.functions.text import strip_fences
 from duskwatch.operators.deadletter import dead_letters
 from duskwatch.operators.lookup import lookup_join
@@ -69,11 +70,12 @@ def parse_replies(replies: DataFrame, reply: str = "reply") -> DataFrame:
                        ).otherwise(F.lit(NO_NARRATIVE))
     tactic = F.try_variant_get(doc, "$.mitre_tactic", "string")
     tier = F.when(wanted.isin(*s.TIERS), wanted).otherwise(F.lit("ticket"))
-    return docs.select(
+    read = docs.select(
         *replies.columns,
         F.when(ok, tier).alias("tier"), F.when(ok, narrative).alias("narrative"),
         F.when(ok, tactic).alias("mitre_tactic"),
         F.when(~ok, F.lit("reply: no JSON object")).alias("error"))
+    return settled(read, "tier", "narrative", "mitre_tactic", "error")
 
 
 def apply_replies(scored: DataFrame, replies: DataFrame | None = None,

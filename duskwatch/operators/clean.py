@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from duskwatch.functions import cleaning as c
+from duskwatch.functions.text import given
 
 CLEANING_VERSION = "1.0"
 CLEAN_TOPIC_STAGE = "clean"
@@ -42,8 +43,8 @@ def clean_event(bronze: DataFrame, as_of: Column | None = None,
     sport = c.clean_port(col("source_port"))
     dport = c.clean_port(col("destination_port"))
     # Warning order is part of the record.
-    warnings = F.array_compact(F.array(*[x.warning for x in (
-        time, src, dst, severity, action, kind, domain, ingest, sport, dport)]))
+    warnings = given(*[x.warning for x in (
+        time, src, dst, severity, action, kind, domain, ingest, sport, dport)])
     no_text = F.array().cast("array<string>")
     return bronze.select(
         stable_id().alias("id"),

@@ -12,9 +12,10 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, functions as F
 
 from duskwatch import schemas
+from duskwatch.functions.plan import settled
 from duskwatch.operators.deadletter import dead_letters
 
-DOC = "__doc"
+DOC, KEYS = "__doc", "__keys"
 
 # Field kinds of the bronze record, in record order.
 LOG_METADATA = {"collector": "text", "source_type": "text", "ingestion_time": "text",
@@ -66,87 +67,92 @@ class Field(NamedTuple):
     problem: Column      # NULL when the field is fine
 
 
-def _get(path: str, kind: str) -> Column:
-    return F.try_variant_get(F.col(DOC), path, kind)
+def _get(item: Column, kind: str) -> Column:
+    return F.try_variant_get(item, "$", kind)
 
 
-def _kind_of(path: str) -> Column:
+def _kind_of(item: Column) -> Column:
     """JSON type name: NULL when the key is absent, VOID for an explicit null."""
-    return F.schema_of_variant(_get(path, "variant"))
+    return F.schema_of_variant(item)
 
 
-def _text(path, name, required):
-    kind = _kind_of(path)
+def _keys(item: Column, fields: dict) -> Column:
+    """The named keys of a JSON object, each still a JSON value."""
+    return _get(item, "struct<" + ",".join(f"`{name}`:variant" for name in fields) + ">")
+
+
+def _text(item, name, required):
+    kind = _kind_of(item)
     bad = (kind.isNull() | (kind != "STRING")) if required else ~kind.isin("STRING", "VOID")
-    return Field(F.when(kind == "STRING", _get(path, "string")),
+    return Field(F.when(kind == "STRING", _get(item, "string")),
                  F.when(bad, F.lit(f"{name}: expected text")))
 
 
-def _one_of(path, name, options, required):
-    text = _text(path, name, required)
+def _one_of(item, name, options, required):
+    text = _text(item, name, required)
     bad = ~text.value.isin(*options)
     return Field(text.value, F.coalesce(
         text.problem, F.when(bad, F.lit(f"{name}: expected one of {', '.join(options)}"))))
 
 
-def _integer(path, name):
-    kind = _kind_of(path)
-    text = _get(path, "string")
-    value = (F.when(kind.isin("BIGINT", "BOOLEAN"), _get(path, "bigint"))
+def _integer(item, name):
+    kind = _kind_of(item)
+    text = _get(item, "string")
+    value = (F.when(kind.isin("BIGINT", "BOOLEAN"), _get(item, "bigint"))
              .when(kind == "STRING", F.when(
                  text.rlike(INTEGER_TEXT),
                  F.regexp_replace(text, r"\s|\.0*\s*$", "").try_cast("bigint")))
              .when(kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT"), F.when(
-                 _get(path, "double") == F.floor(_get(path, "double")), _get(path, "bigint"))))
+                 _get(item, "double") == F.floor(_get(item, "double")), _get(item, "bigint"))))
     return Field(value, F.when(kind.isNotNull() & (kind != "VOID") & value.isNull(),
                                F.lit(f"{name}: expected integer")))
 
 
-def _count(path, name):
+def _count(item, name):
     """Integer that may be absent (0) but not null."""
-    inner, kind = _integer(path, name), _kind_of(path)
+    inner, kind = _integer(item, name), _kind_of(item)
     return Field(F.coalesce(inner.value, F.lit(0).cast("bigint")), F.coalesce(
         inner.problem, F.when(kind == "VOID", F.lit(f"{name}: expected integer"))))
 
 
-def _number(path, name):
-    kind = _kind_of(path)
-    text = _get(path, "string")
+def _number(item, name):
+    kind = _kind_of(item)
+    text = _get(item, "string")
     value = (F.when(kind == "STRING",
                     F.when(text.rlike(NUMBER_TEXT), F.trim(text).try_cast("double")))
-             .when(~kind.startswith("OBJECT") & ~kind.startswith("ARRAY"), _get(path, "double")))
+             .when(~kind.startswith("OBJECT") & ~kind.startswith("ARRAY"), _get(item, "double")))
     return Field(value, F.when(kind.isNotNull() & (kind != "VOID") & value.isNull(),
                                F.lit(f"{name}: expected number")))
 
 
-def _text_list(path, name):
-    kind = _kind_of(path)
-    items = _get(path, "array<string>")
+def _text_list(item, name):
+    kind = _kind_of(item)
+    items = _get(item, "array<string>")
     good = kind.isin("ARRAY<STRING>", "ARRAY<VOID>") & ~F.exists(items, lambda x: x.isNull())
     return Field(F.when(good, items).otherwise(F.array().cast("array<string>")),
                  F.when(kind.isNotNull() & ~good, F.lit(f"{name}: expected list of text")))
 
 
-def _any_list(path, name):
-    kind = _kind_of(path)
+def _any_list(item, name):
+    kind = _kind_of(item)
     items = F.transform(
-        _get(path, "array<variant>"),
+        _get(item, "array<variant>"),
         lambda x: F.coalesce(F.try_variant_get(x, "$", "string"), F.to_json(x)))
     return Field(F.coalesce(items, F.array().cast("array<string>")),
                  F.when(kind.isNotNull() & ~kind.startswith("ARRAY"),
                         F.lit(f"{name}: expected list")))
 
 
-def _document(path, name):
-    kind = _kind_of(path)
-    return Field(_get(path, "variant"),
+def _document(item, name):
+    kind = _kind_of(item)
+    return Field(_get(item, "variant"),
                  F.when(kind.isNotNull() & ~kind.startswith("OBJECT"),
                         F.lit(f"{name}: expected object")))
 
 
-def _record(path, name, fields):
-    kind = _kind_of(path)
-    inner = _decode(path, fields, prefix=f"{name}.")
+def _record(item, keys, name, fields):
+    kind = _kind_of(item)
+    inner = _decode(keys, fields, prefix=f"{name}.")
     is_object = kind.startswith("OBJECT")
     value = F.when(is_object, F.struct(*[f.value.alias(n) for n, f in inner.items()]))
     problem = (F.when(is_object, F.nullif(
@@ -155,33 +161,26 @@ def _record(path, name, fields):
     return Field(value, problem)
 
 
-def _decode(base, fields, prefix="") -> dict[str, Field]:
+def _decode(keys: str, fields: dict, prefix: str = "") -> dict[str, Field]:
+    """Fields of an object whose keys were taken apart into the column ``keys``."""
     decoded = {}
     for name, kind in fields.items():
-        path, shown = f"{base}.{name}", prefix + name
+        item, shown = F.col(f"{keys}.{name}"), prefix + name
         if isinstance(kind, dict):
-            decoded[name] = _record(path, shown, kind)
+            decoded[name] = _record(item, f"__{name}", shown, kind)
             continue
         required = kind.startswith("required ")
         kind = kind.removeprefix("required ")
         if kind == "text":
-            decoded[name] = _text(path, shown, required)
+            decoded[name] = _text(item, shown, required)
         elif "|" in kind:
-            decoded[name] = _one_of(path, shown, kind.split("|"), required)
-        elif kind == "integer":
-            decoded[name] = _integer(path, shown)
-        elif kind == "count":
-            decoded[name] = _count(path, shown)
-        elif kind == "number":
-            decoded[name] = _number(path, shown)
-        elif kind == "text list":
-            decoded[name] = _text_list(path, shown)
-        elif kind == "any list":
-            decoded[name] = _any_list(path, shown)
-        elif kind == "document":
-            decoded[name] = _document(path, shown)
+            decoded[name] = _one_of(item, shown, kind.split("|"), required)
+        elif kind == "any":
+            decoded[name] = Field(item, F.lit(None).cast("string"))
         else:
-            decoded[name] = Field(_get(path, "variant"), F.lit(None).cast("string"))
+            decoded[name] = {"integer": _integer, "count": _count, "number": _number,
+                             "text list": _text_list, "any list": _any_list,
+                             "document": _document}[kind](item, shown)
     return decoded
 
 
@@ -200,18 +199,20 @@ def decode_records(df: DataFrame, fields: dict, value: str = "value") -> DataFra
         & F.try_variant_get(F.col(DOC), "$[1]", "variant").isNull()
         & F.when(text.rlike(r"\}\s*\]"), F.try_parse_json(
             F.concat(F.lit('{"w":'), text, F.lit("}"))).isNotNull()).otherwise(F.lit(True)))
-    decoded = _decode("$[0]", fields)
+    # Keys are taken apart first, then the keys of nested objects, then values.
+    docs = docs.withColumn(KEYS, F.when(single, _keys(
+        F.try_variant_get(F.col(DOC), "$[0]", "variant"), fields)))
+    docs = docs.select("*", *[_keys(F.col(f"{KEYS}.{name}"), kind).alias(f"__{name}")
+                              for name, kind in fields.items() if isinstance(kind, dict)])
+    decoded = _decode(KEYS, fields)
     problems = F.concat_ws("; ", *[f.problem for f in decoded.values()])
     error = (F.when(text.isNull(), F.lit("message: empty or not UTF-8"))
-             .when(~F.coalesce(single, F.lit(False)), F.lit("message: not a JSON object"))
+             .when(F.col(KEYS).isNull(), F.lit("message: not a JSON object"))
              .otherwise(F.nullif(problems, F.lit(""))))
-    rows = docs.select(*df.columns, F.struct(
-        F.struct(*[f.value.alias(n) for n, f in decoded.items()]).alias("record"),
-        error.alias("error")).alias("__parsed"))
-    # A generator stops filters on the error from being pushed below the
-    # decoding, where they would decode every message a second time.
-    return (rows.withColumn("__parsed", F.explode(F.array("__parsed")))
-            .select(*df.columns, "__parsed.record", "__parsed.error"))
+    record = F.struct(*[f.value.alias(n) for n, f in decoded.items()])
+    # Otherwise the split by error would decode every message twice.
+    return settled(docs.select(*df.columns, record.alias("record"), error.alias("error")),
+                   "record", "error")
 
 
 def _split(df, fields, value, topic, stage, as_of):
