@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+
+def document(column: Column | str) -> Column:
+    """JSON text with explicit nulls; a missing struct is the JSON value null."""
+    return F.coalesce(F.to_json(column, {"ignoreNullFields": "false"}), F.lit("null"))
 
 
 def events_wide(gold: DataFrame) -> DataFrame:
@@ -34,7 +39,7 @@ def events_wide(gold: DataFrame) -> DataFrame:
         policy["violation_type"].alias("policy_violation_type"),
         policy["policy_severity"].alias("policy_severity"),
         "threat_score", "recommended_action", "mitre_tactic", "narrative",
-        *[F.to_json(c).alias(c) for c in ("score_breakdown", "ip_reputation", "asset_context",
+        *[document(c).alias(c) for c in ("score_breakdown", "ip_reputation", "asset_context",
                                           "identity_context")],
         s["cleaning_warnings"].alias("cleaning_warnings"))
 
@@ -52,7 +57,7 @@ def aggregations_wide(findings: DataFrame) -> DataFrame:
         "pattern", "chain",
         *[summary[n].alias(n) for n in ("max_threat_score", "avg_threat_score",
                                         "recommended_action", "mitre_tactic", "narrative")],
-        *[F.to_json(summary[n]).alias(n) for n in ("ip_reputation", "asset_context",
+        *[document(summary[n]).alias(n) for n in ("ip_reputation", "asset_context",
                                                    "identity_context")],
         F.coalesce(summary["source_event_ids"],
                    F.array().cast("array<string>")).alias("source_event_ids"))
