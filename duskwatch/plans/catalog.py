@@ -15,7 +15,7 @@ from duskwatch.operators import (assess, baseline, chains, clean, deadletter, en
                                  parse, velocity)
 from duskwatch.plans import inputs, pipeline as p, views
 from duskwatch.session import tune
-from duskwatch.sinks import lake as lake_sink, tables
+from duskwatch.sinks import lake as lake_sink, rows, tables
 from duskwatch.sources import replies as reply_source, topics
 from duskwatch.sources.lake import hour_range
 
@@ -327,7 +327,7 @@ def velocity_windows(spark, sf):
 
 
 def velocity_representative(spark, sf):
-    silver = p.silver(spark, sf)
+    silver = p.silver_table(spark, sf)
     windows = velocity.velocity_windows(silver, p.WINDOW, p.THRESHOLD)
     rows = velocity.velocity_findings(windows, silver)
     rep = F.col("representative")
@@ -339,7 +339,7 @@ def velocity_representative(spark, sf):
 
 
 def attack_chains(spark, sf):
-    return flat(chains.attack_chains(p.silver(spark, sf), p.WITHIN))
+    return flat(chains.attack_chains(p.silver_table(spark, sf), p.WITHIN))
 
 
 def attack_chain_candidates(spark, sf):
@@ -347,7 +347,7 @@ def attack_chain_candidates(spark, sf):
 
 
 def attack_chain_records(spark, sf):
-    silver = p.silver(spark, sf)
+    silver = p.silver_table(spark, sf)
     rows = chains.chain_findings(chains.attack_chains(silver, p.WITHIN), silver, p.WITHIN)
     x = F.col("chain")
     return flat(rows.select(
@@ -370,13 +370,14 @@ def baseline_alerts(spark, sf):
 # Interval joins and sinks.
 
 def agg_gold_interval_join(spark, sf):
-    rows = interval.event_links(p.findings(spark, sf), p.gold(spark, sf), p.WINDOW)
+    rows = interval.event_links(p.findings_table(spark, sf), p.gold_table(spark, sf), p.WINDOW)
     return rows.select("finding_id", "silver_id", clock("gold_time").alias("gold_time"),
                        "threat_score")
 
 
 def enrichment_summary(spark, sf):
-    rows = interval.enrichment_summary(p.findings(spark, sf), p.gold(spark, sf), p.WINDOW)
+    rows = interval.enrichment_summary(p.findings_table(spark, sf), p.gold_table(spark, sf),
+                                       p.WINDOW)
     x = F.col("enrichment_summary")
     return rows.select("finding_id", *[x[n].alias(n) for n in (
         "max_threat_score", "avg_threat_score", "recommended_action", "mitre_tactic", "narrative",
@@ -407,13 +408,18 @@ def lake_pruned_read(spark, sf):
             .agg(F.count("*").alias("events"), F.sum("bytes_sent").alias("bytes_sent")))
 
 
+def _events(spark, sf):
+    """The warm ``events`` table over the stored gold layer."""
+    return rows.events_wide(p.gold_table(spark, sf))
+
+
 def events_wide(spark, sf):
     return flat(p.events_table(spark, sf))
 
 
 def insert_ignore(spark, sf):
     """Rows a second, overlapping batch adds: its new keys, each once."""
-    events = p.events_table(spark, sf).select("silver_id", "original_id", "event_time",
+    events = _events(spark, sf).select("silver_id", "original_id", "event_time",
                                               "threat_score")
     split = F.lit("2024-01-16").cast("timestamp")
     stored = events.where(F.col("event_time") < split)
@@ -429,7 +435,7 @@ def aggregations_wide(spark, sf):
 
 def upsert_latest(spark, sf):
     """Documents after a second version of every third one arrives."""
-    docs = p.events_table(spark, sf).select("silver_id", "original_id", "event_time",
+    docs = _events(spark, sf).select("silver_id", "original_id", "event_time",
                                             "threat_score")
     n = F.substring("original_id", 5, 20).cast("bigint")
     target = docs.withColumn("version", F.lit(1))
@@ -440,7 +446,7 @@ def upsert_latest(spark, sf):
 
 
 def hot_window(spark, sf):
-    rows = tables.hot_window(p.events_table(spark, sf), p.as_of(), 15)
+    rows = tables.hot_window(_events(spark, sf), p.as_of(), 15)
     return (rows.groupBy(F.to_date("event_time").cast("string").alias("day"))
             .agg(F.count("*").alias("events"), F.max("threat_score").alias("max_score")))
 
@@ -448,50 +454,50 @@ def hot_window(spark, sf):
 # Views.
 
 def v_hourly_threat_trends(spark, sf):
-    return flat(views.hourly_threat_trends(p.events_table(spark, sf)))
+    return flat(views.hourly_threat_trends(_events(spark, sf)))
 
 
 def v_top_threat_ips(spark, sf):
-    return flat(views.top_threat_ips(p.events_table(spark, sf)))
+    return flat(views.top_threat_ips(_events(spark, sf)))
 
 
 def v_mitre_coverage(spark, sf):
-    rows = views.mitre_coverage(p.events_table(spark, sf))
+    rows = views.mitre_coverage(_events(spark, sf))
     return flat(rows.withColumn("avg_score", F.round("avg_score", 6)))
 
 
 def v_action_summary(spark, sf):
-    return flat(views.action_summary(p.events_table(spark, sf)))
+    return flat(views.action_summary(_events(spark, sf)))
 
 
 def v_aggregation_enriched(spark, sf):
-    rows = views.aggregation_enriched(p.aggregations_table(spark, sf), p.events_table(spark, sf),
+    rows = views.aggregation_enriched(p.aggregations_table(spark, sf), _events(spark, sf),
                                       p.WINDOW)
     return flat(rows.drop("ip_reputation", "asset_context", "identity_context"))
 
 
 def v_ip_full_picture(spark, sf):
-    return flat(views.ip_full_picture(p.events_table(spark, sf), p.aggregations_table(spark, sf)))
+    return flat(views.ip_full_picture(_events(spark, sf), p.aggregations_table(spark, sf)))
 
 
 def events_health(spark, sf):
-    return views.events_health(p.events_table(spark, sf))
+    return views.events_health(_events(spark, sf))
 
 
 def top_events_by_score(spark, sf):
-    rows = views.top_events(p.events_table(spark, sf), 50)
+    rows = views.top_events(_events(spark, sf), 50)
     return flat(rows.select("silver_id", "event_time", "event_type", "source_ip", "threat_score"))
 
 
 def ip_timeline(spark, sf):
-    rows = views.ip_timeline(p.events_table(spark, sf), "10.0.0.7")
+    rows = views.ip_timeline(_events(spark, sf), "10.0.0.7")
     return flat(rows.select("silver_id", "event_time", "event_type", "severity", "action",
                             "threat_score"))
 
 
 def narrative_search(spark, sf):
     """Events and findings that mention ssh_attempt, as whole words."""
-    return flat(views.text_search(p.events_table(spark, sf), p.aggregations_table(spark, sf),
+    return flat(views.text_search(_events(spark, sf), p.aggregations_table(spark, sf),
                                   ["ssh", "attempt"]))
 
 

@@ -208,7 +208,7 @@ STEPS = {
           max(event_time) AS last_seen, {DAY_MINUTES}::INTEGER AS window_minutes,
           'VELOCITY: ' || count(*) || ' ' || event_type || ' events from '
             || coalesce(source_ip, 'None') || ' in {DAY_MINUTES} minutes' AS description
-        FROM silver GROUP BY ALL""",
+        FROM silver GROUP BY date_trunc('day', event_time), source_ip, event_type""",
     "busy": "SELECT * FROM windows WHERE event_count >= 3",
     "represented": """
         SELECT b.*, 'agg_' || r.id AS finding_id, r.event_time AS event_time, r.severity,

@@ -1,13 +1,21 @@
-"""The layers of the pipeline over the derived records, each one lazy plan."""
+"""The layers of the pipeline over the derived records.
+
+``silver``, ``scored`` and ``gold`` are lazy plans.  Steps that read a layer more
+than once work on its stored table (``*_table``): the layer is written once to the
+shared folder, and every reader scans only the columns it needs.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from duskwatch.operators import assess, baseline, chains, enrich, interval, velocity
 from duskwatch.operators.clean import clean_event
 from duskwatch.operators.score import with_threat_score
 from duskwatch.plans import inputs
+from duskwatch.session import shared_dir
 from duskwatch.sinks import rows
 
 # The records are sparse (a few per address, type and day), so the detectors run
@@ -58,12 +66,39 @@ def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assess.nest_gold(assessed(spark, sf_dir).where(F.col("error").isNull()))
 
 
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def _stored(spark: SparkSession, sf_dir: str, layer: str,
+            plan: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
+    """A layer's table in the shared folder, written on first use by this application."""
+    app = spark.sparkContext.applicationId
+    key = (app, sf_dir, layer)
+    if key not in _STORED:
+        path = f"{shared_dir(spark)}/duskwatch/{app}/{len(_STORED)}-{layer}"
+        plan(spark, sf_dir).write.mode("overwrite").parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key])
+
+
+def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir, "silver", silver)
+
+
+def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir, "gold", gold)
+
+
+def findings_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir, "findings", findings)
+
+
 def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.events_wide(gold(spark, sf_dir))
 
 
 def findings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = silver(spark, sf_dir)
+    events = silver_table(spark, sf_dir)
     windows = velocity.velocity_windows(events, WINDOW, THRESHOLD)
     sequences = chains.attack_chains(events, WITHIN)
     return interval.union_findings(
@@ -73,5 +108,6 @@ def findings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def aggregations_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    enriched = interval.enrich_findings(findings(spark, sf_dir), gold(spark, sf_dir), WINDOW)
+    enriched = interval.enrich_findings(findings_table(spark, sf_dir),
+                                        gold_table(spark, sf_dir), WINDOW)
     return rows.aggregations_wide(enriched)
