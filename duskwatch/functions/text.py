@@ -42,3 +42,9 @@ def given(*texts: Column) -> Column:
     generated code.
     """
     return F.array_remove(F.array(*[F.coalesce(t, F.lit("")) for t in texts]), "")
+
+
+def json_text(column: Column | str) -> Column:
+    """JSON of a struct or map, with explicit nulls and microsecond instants."""
+    return F.to_json(column, {"ignoreNullFields": "false",
+                              "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"})

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from duskwatch import schemas
 from duskwatch.functions import scoring as s
 from duskwatch.functions.plan import settled
-from duskwatch.functions.text import strip_fences
+from duskwatch.functions.text import json_text, strip_fences
 from duskwatch.operators.deadletter import dead_letters
 from duskwatch.operators.lookup import lookup_join
 
@@ -30,9 +30,9 @@ def needs_assessment(score: Column) -> Column:
 
 def request_document() -> Column:
     """Request text for one scored event: a lead line and a JSON document."""
-    document = F.to_json(F.struct(
+    document = json_text(F.struct(
         F.struct(*REQUEST_FIELDS).alias("event"), "threat_score", "score_breakdown",
-        "ip_reputation", "asset_context", "identity_context"), {"ignoreNullFields": "false"})
+        "ip_reputation", "asset_context", "identity_context"))
     return F.concat(F.lit(REQUEST_LEAD), document)
 
 
@@ -130,7 +130,7 @@ def build_gold(scored: DataFrame, replies: DataFrame | None = None, on_error: st
     assessed = apply_replies(scored, replies, on_error)
     silver = [f.name for f in schemas.layer_schema("silver").fields]
     failed = assessed.where(F.col("error").isNotNull()).select(
-        "error", F.to_json(F.struct(*silver)).alias("value"))
+        "error", json_text(F.struct(*silver)).alias("value"))
     dead = dead_letters(failed, stage="enrich", topic=topic, as_of=as_of)
     return nest_gold(assessed.where(F.col("error").isNull())), dead
 

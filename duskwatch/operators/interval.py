@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from duskwatch.functions.text import json_text
 from duskwatch.functions.timing import bucket_of
 
 BUCKET = "5 minutes"
@@ -103,7 +104,7 @@ def union_findings(*sets: DataFrame) -> DataFrame:
     for rows in sets:
         # Nested events differ in shape by detector, so they travel as JSON.
         if "chain" in rows.columns:
-            rows = rows.withColumn("chain", F.to_json("chain"))
+            rows = rows.withColumn("chain", json_text("chain"))
         if "representative" in rows.columns:
             rows = rows.drop("representative")
         rows = rows.select(*[c for c in columns if c in rows.columns])

@@ -11,6 +11,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from duskwatch.functions import cleaning as c, scoring as s
+from duskwatch.functions.text import json_text
 from duskwatch.operators import (assess, baseline, chains, clean, deadletter, enrich, interval,
                                  parse, velocity)
 from duskwatch.plans import inputs, pipeline as p, views
@@ -160,7 +161,7 @@ def _silver_messages(spark, sf):
     """Silver records as JSON messages; every 40th has lost its severity."""
     silver = p.silver(spark, sf)
     n = F.substring("original_id", 5, 20).cast("bigint")
-    document = F.to_json(F.struct(*silver.columns))
+    document = json_text(F.struct(*silver.columns))
     damaged = F.regexp_replace(document, '"severity":"[A-Z]+",', "")
     return silver.select(F.when(n % 40 == 3, damaged).otherwise(document).alias("value"),
                          F.lit(topics.SILVER).alias("topic"))

@@ -551,6 +551,37 @@ _BODIES = {
     "assessment_gate": ("scored", """
         SELECT threat_score >= 15 AS assessed, count(*) AS events, min(threat_score) AS low,
           max(threat_score) AS high FROM scored GROUP BY 1"""),
+    "assessment_request": ("scored", f"""
+        SELECT id, threat_score, 'Assess this security event and respond with JSON only:' || chr(10)
+          || chr(10) || to_json({{
+            'event': {{'id': id, 'event_time': strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f+00:00'),
+              'event_type': event_type, 'severity': severity, 'action': action,
+              'source_ip': source_ip, 'destination_ip': destination_ip,
+              'destination_domain': destination_domain, 'destination_port': destination_port,
+              'protocol': protocol, 'application': application, 'user': user_name,
+              'device_name': device_name, 'security_zone': security_zone,
+              'policy_violation': CASE WHEN has_policy THEN {{'policy_name': NULL::VARCHAR,
+                'violation_type': NULL::VARCHAR, 'policy_severity': policy_severity}} END,
+              'tcp_flags': tcp_flags, 'bytes_sent': bytes_sent, 'bytes_received': bytes_received,
+              'process_name': process_name, 'asset_tags': asset_tags,
+              'cleaning_warnings': cleaning_warnings}},
+            'threat_score': threat_score,
+            'score_breakdown': {{'severity_base': p_severity, 'event_type_boost': p_type,
+              'action_modifier': p_action, 'policy_violation': p_policy, 'security_zone': p_zone,
+              'ip_reputation': p_ip, 'asset_criticality': p_asset, 'identity_risk': p_identity,
+              'composite': threat_score}},
+            'ip_reputation': CASE WHEN source_ip IS NOT NULL THEN {{'ip': source_ip,
+              'is_malicious': is_malicious, 'threat_types': threat_types, 'country': country,
+              'abuse_score': abuse_score, 'source': 'abuseipdb,ipinfo'}} END,
+            'asset_context': CASE WHEN host IS NOT NULL THEN {{'host': host,
+              'criticality': CASE WHEN is_prod THEN 9 ELSE 4 END,
+              'environment': CASE WHEN is_prod THEN 'prod' ELSE 'dev' END,
+              'owner': CASE WHEN is_prod THEN 'platform-team' ELSE 'dev-team' END,
+              'internet_facing': facing}} END,
+            'identity_context': CASE WHEN user_name IS NOT NULL THEN {{'user': user_name,
+              'is_privileged': privileged, 'is_service_acct': starts_with(user_name, 'svc-'),
+              'recent_offboard': offboard, 'risk_score': risk}} END
+          }})::VARCHAR AS request FROM scored WHERE threat_score >= 15"""),
     "assessment_parse": ("replies", "SELECT original_id, tier, said AS narrative, "
                                     "tactic AS mitre_tactic, problem AS error FROM read_replies"),
     "action_tier": ("scored", """

@@ -6,6 +6,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from duskwatch.functions.text import json_text
 from duskwatch.operators.deadletter import dead_letters
 
 
@@ -52,7 +53,7 @@ def split_by_time(rows: DataFrame, layer: str, topic: str,
     at = F.try_to_timestamp(field.cast("string")) if layer == "bronze" else field
     good = with_hours(rows.where(at.isNotNull()), at)
     bad = rows.where(at.isNull()).select(
-        F.to_json(F.struct(*[c for c in rows.columns if c != "raw"])).alias("value"),
+        json_text(F.struct(*[c for c in rows.columns if c != "raw"])).alias("value"),
         F.lit(f"{LAYER_TIME[layer]}: no time to file the record under").alias("error"))
     return good, dead_letters(bad, stage="archive", topic=topic, as_of=as_of)
 

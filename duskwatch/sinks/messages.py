@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from duskwatch.functions.text import json_text
 from duskwatch.sources.topics import BRONZE, DEAD_CLEAN, DEAD_ENRICH, DEAD_PARSE, SILVER
 
 # Delivery settings of the topic sink.
@@ -16,7 +17,7 @@ STAGE_SOURCE = {"parse": BRONZE, "clean": BRONZE, "enrich-parse": SILVER, "enric
 
 def to_messages(rows: DataFrame, topic: str, key: str | None = None) -> DataFrame:
     """``(key, value, topic)`` with the whole record as JSON."""
-    value = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"})
+    value = json_text(F.struct(*rows.columns))
     return rows.select((F.col(key) if key else F.lit(None)).cast("string").alias("key"),
                        value.alias("value"), F.lit(topic).alias("topic"))
 
@@ -26,7 +27,7 @@ def dead_letter_messages(dead: DataFrame) -> DataFrame:
     stage, topic = F.col("stage"), F.lit(DEAD_PARSE)
     for name, target in DEAD_TOPICS.items():
         topic = F.when(stage == name, F.lit(target)).otherwise(topic)
-    value = F.to_json(F.struct(*dead.columns), {"ignoreNullFields": "false"})
+    value = json_text(F.struct(*dead.columns))
     return dead.select(F.lit(None).cast("string").alias("key"), value.alias("value"),
                        topic.alias("topic"))
 

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from duskwatch.functions.text import json_text
+
+
 
 def document(column: Column | str) -> Column:
     """JSON text with explicit nulls; a missing struct is the JSON value null."""
-    return F.coalesce(F.to_json(column, {"ignoreNullFields": "false"}), F.lit("null"))
+    return F.coalesce(json_text(column), F.lit("null"))
 
 
 def events_wide(gold: DataFrame) -> DataFrame:

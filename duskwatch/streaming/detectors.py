@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from duskwatch import schemas
-from duskwatch.functions.text import message
+from duskwatch.functions.text import json_text, message
 from duskwatch.functions.timing import micros, minutes_of
 from duskwatch.operators import baseline, chains, velocity
 
@@ -108,7 +108,7 @@ def chains_stream(silver: DataFrame, within: str = chains.WITHIN) -> DataFrame:
     steps = silver.select(
         velocity.none_text(F.col("source_ip")).alias("ip"), "event_time",
         F.unix_micros("event_time").alias("t"), "id", chains.chain_role().alias("role"),
-        F.to_json(F.struct(*silver.columns)).alias("record")).where(F.col("role").isNotNull())
+        json_text(F.struct(*silver.columns)).alias("record")).where(F.col("role").isNotNull())
     found = steps.groupBy("ip").transformWithStateInPandas(
         ChainProcessor(micros(within)), CHAIN_OUTPUT, "Append", "EventTime")
     record = " ".join(schemas.SILVER.split())
