@@ -44,7 +44,10 @@ def given(*texts: Column) -> Column:
     return F.array_remove(F.array(*[F.coalesce(t, F.lit("")) for t in texts]), "")
 
 
+# The default layout of JSON writers cuts instants to milliseconds.
+JSON_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
+
+
 def json_text(column: Column | str) -> Column:
     """JSON of a struct or map, with explicit nulls and microsecond instants."""
-    return F.to_json(column, {"ignoreNullFields": "false",
-                              "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"})
+    return F.to_json(column, {"ignoreNullFields": "false", "timestampFormat": JSON_TIME})

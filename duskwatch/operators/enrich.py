@@ -47,14 +47,20 @@ def asset_dim(spark: SparkSession) -> DataFrame:
     """Default asset table; replace by an inventory export of the same columns."""
     rows = [(h, h in PRODUCTION_HOSTS, h in INTERNET_HOSTS)
             for h in PRODUCTION_HOSTS + INTERNET_HOSTS]
-    return spark.createDataFrame(rows, "host string, is_prod boolean, internet_facing boolean")
+    return _listed(spark, rows, "host, is_prod, internet_facing")
 
 
 def identity_dim(spark: SparkSession) -> DataFrame:
     """Default identity table; replace by a directory export of the same columns."""
     rows = [(u, u in PRIVILEGED_USERS, u in OFFBOARDED_USERS)
             for u in PRIVILEGED_USERS + OFFBOARDED_USERS]
-    return spark.createDataFrame(rows, "user string, is_privileged boolean, recent_offboard boolean")
+    return _listed(spark, rows, "`user`, is_privileged, recent_offboard")
+
+
+def _listed(spark: SparkSession, rows: list[tuple], names: str) -> DataFrame:
+    """A short table as literal rows, whose size Catalyst knows exactly."""
+    values = ", ".join(f"('{name}', {first}, {second})" for name, first, second in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({names})")
 
 
 def category_labels(ids: Column) -> Column:

@@ -6,7 +6,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from duskwatch.functions.text import json_text
+from duskwatch.functions.text import JSON_TIME, json_text
 from duskwatch.operators.deadletter import dead_letters
 
 
@@ -66,6 +66,8 @@ def write_lake(rows: DataFrame, path: str, fmt: str = "json", mode: str = "appen
     that is too large for one task.
     """
     writer = rows.hint("rebalance", *[F.col(h) for h in HOURS]).write.mode(mode).format(fmt)
+    if fmt == "json":
+        writer = writer.option("timestampFormat", JSON_TIME)
     if max_records:
         writer = writer.option("maxRecordsPerFile", max_records)
     writer.partitionBy(*HOURS).save(path)
