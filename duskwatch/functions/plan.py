@@ -5,6 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 
+# Input per core below which a scan may leave cores idle.
+SPLIT_BYTES = 4 << 20
+
+
+def planned_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of a plan (file sizes, or exact for literal rows)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a small input over all cores before costly projections.
+
+    A small table often is one file with one row group, hence one task.  Larger
+    inputs already come in more splits than there are cores and are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if planned_bytes(df) < cores * SPLIT_BYTES else df
+
+
 def settled(df: DataFrame, *columns: str) -> DataFrame:
     """Compute columns once, ahead of any later filter or join on them.
 

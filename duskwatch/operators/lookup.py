@@ -4,12 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-BROADCAST_BYTES = 64 << 20
-
+from duskwatch.functions.plan import planned_bytes
 
-def planned_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan (file sizes, or exact for local rows)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+BROADCAST_BYTES = 64 << 20
 
 
 def lookup_join(rows: DataFrame, table: DataFrame, on: Column,

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from duskwatch.functions.plan import spread
+
 AS_OF = "2024-02-01 00:00:00"
 
 SPARK = {
@@ -197,7 +199,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
+    events = spread(table(spark, sf_dir, "events"))
     return events.selectExpr(*[f"{sql} AS {name}" for name, sql in record_fields(SPARK).items()])
 
 

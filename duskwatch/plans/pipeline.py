@@ -30,10 +30,25 @@ def as_of():
     return F.lit(inputs.AS_OF).cast("timestamp")
 
 
+_PLANS: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _planned(build: Callable[[SparkSession, str], DataFrame]):
+    """Build and analyse a layer's plan once per application and input folder."""
+    def plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, sf_dir, build.__name__)
+        if key not in _PLANS:
+            _PLANS[key] = build(spark, sf_dir)
+        return _PLANS[key]
+    return plan
+
+
+@_planned
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_event(inputs.bronze(spark, sf_dir), as_of())
 
 
+@_planned
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     enriched = enrich.enrich(silver(spark, sf_dir), inputs.ip_intel(spark, sf_dir),
                              enrich.asset_dim(spark), enrich.identity_dim(spark))
@@ -46,6 +61,7 @@ def with_replies(events: DataFrame) -> DataFrame:
     return events.withColumn("n", n).withColumn("reply", F.expr(inputs.reply_text()))
 
 
+@_planned
 def assessed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scored events with assessment columns and ``error``.
 
@@ -62,6 +78,7 @@ def assessed(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.when(worth, F.col("error")).alias("error"))
 
 
+@_planned
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assess.nest_gold(assessed(spark, sf_dir).where(F.col("error").isNull()))
 
