@@ -30,13 +30,13 @@ def as_of():
     return F.lit(inputs.AS_OF).cast("timestamp")
 
 
-_PLANS: dict[tuple[str, str, str], DataFrame] = {}
+_PLANS: dict[tuple, DataFrame] = {}
 
 
 def _planned(build: Callable[[SparkSession, str], DataFrame]):
-    """Build and analyse a layer's plan once per application and input folder."""
+    """Build and analyse a layer's plan once per session and input folder."""
     def plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (spark.sparkContext.applicationId, sf_dir, build.__name__)
+        key = (spark.sparkContext.applicationId, id(spark), sf_dir, build.__name__)
         if key not in _PLANS:
             _PLANS[key] = build(spark, sf_dir)
         return _PLANS[key]
