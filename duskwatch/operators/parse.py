@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from duskwatch import schemas
 from duskwatch.functions.plan import settled
 from duskwatch.operators.deadletter import dead_letters
+from duskwatch.operators.interval import aggregation_type
 
 DOC, KEYS = "__doc", "__keys"
 
@@ -58,6 +59,17 @@ SILVER_FIELDS = {
     "cleaning_warnings": "text list",
 }
 
+BASELINE_STATS = {"current_count": "integer", "rolling_average": "number",
+                  "multiplier": "number", "threshold": "number", "windows_in_baseline": "integer"}
+FINDING_FIELDS = {
+    "id": "required text", "source_ip": "text", "source_event_type": "text",
+    "event_time": "text", "description": "text", "event_count": "integer", "first_seen": "text",
+    "last_seen": "text", "window_minutes": "integer", "unique_dest_ips": "integer",
+    "unique_dest_ports": "integer", "total_bytes_sent": "integer", "velocity_key": "text",
+    "baseline_stats": BASELINE_STATS, "triggering_event": "optional document", "pattern": "text",
+    "chain": "optional document",
+}
+
 INTEGER_TEXT = r"^\s*[+-]?\d+(?:\.0*)?\s*$"
 NUMBER_TEXT = r"^\s*[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?\s*$"
 
@@ -150,6 +162,13 @@ def _document(item, name):
                         F.lit(f"{name}: expected object")))
 
 
+def _optional_document(item, name):
+    kind = _kind_of(item)
+    return Field(F.when(kind.startswith("OBJECT"), F.to_json(item)),
+                 F.when(~kind.startswith("OBJECT") & (kind != "VOID"),
+                        F.lit(f"{name}: expected object")))
+
+
 def _record(item, keys, name, fields):
     kind = _kind_of(item)
     inner = _decode(keys, fields, prefix=f"{name}.")
@@ -180,7 +199,8 @@ def _decode(keys: str, fields: dict, prefix: str = "") -> dict[str, Field]:
         else:
             decoded[name] = {"integer": _integer, "count": _count, "number": _number,
                              "text list": _text_list, "any list": _any_list,
-                             "document": _document}[kind](item, shown)
+                             "document": _document,
+                             "optional document": _optional_document}[kind](item, shown)
     return decoded
 
 
@@ -251,3 +271,31 @@ def parse_silver(df: DataFrame, value: str = "value", topic: str = "topic",
     dead = dead_letters(parsed.where(F.col("error").isNotNull()), stage="enrich-parse",
                         message=value, topic=topic, as_of=as_of)
     return good, dead
+
+
+def parse_findings(df: DataFrame, value: str = "value", topic: str = "topic",
+                   as_of=None) -> tuple[DataFrame, DataFrame]:
+    """Messages of the finding topics -> (aggregation records, dead letters).
+
+    The kind of finding follows from the topic a message came from.
+    """
+    parsed = decode_records(df, FINDING_FIELDS, value)
+    good, kind = parsed.where(F.col("error").isNull()), aggregation_type(F.col(topic))
+    columns = []
+    for field in schemas.layer_schema("aggregation").fields:
+        source, name = F.col(f"record.{field.name}"), field.name
+        if name == "aggregation_type":
+            columns.append(kind.alias(name))
+        elif name in ("aggregated", "correlated"):
+            columns.append((F.lit(True) if name == "aggregated" else kind == "cep_chain").alias(name))
+        elif name == "enrichment_summary":
+            columns.append(F.lit(None).cast(field.dataType).alias(name))
+        elif field.dataType.typeName() == "timestamp":
+            columns.append(F.try_to_timestamp(source).alias(name))
+        elif field.dataType.typeName() == "struct":
+            columns.append(source.cast(field.dataType).alias(name))
+        else:
+            columns.append(source.try_cast(field.dataType).alias(name))
+    dead = dead_letters(parsed.where(F.col("error").isNotNull()), stage="aggregate-parse",
+                        message=value, topic=topic, as_of=as_of)
+    return good.select(*columns), dead

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from duskwatch import schemas
 from duskwatch.operators.assess import apply_replies, parse_replies
-from duskwatch.operators.parse import parse_bronze, parse_silver
+from duskwatch.operators.parse import parse_bronze, parse_findings, parse_silver
 from duskwatch.plans import pipeline
 from duskwatch.sinks.messages import dead_letter_messages, to_messages
 from duskwatch.sources.replies import entry_messages
+from duskwatch.sources.topics import BASELINE, CORRELATED, WINDOWED
 
 OK = {"id": "a", "timestamp": "2026-02-08T09:15:32Z"}
 
@@ -144,3 +145,22 @@ def test_apply_replies_options(spark):
     assert actions(apply_replies(scored, replies, on_error="ticket"))["c"] == ("ticket", False)
     assert actions(apply_replies(scored)) == {
         "a": ("contain", False), "b": (None, False), "c": ("ticket", False), "d": ("ticket", False)}
+
+
+def test_findings_from_topics(spark):
+    stats = {"current_count": 9, "rolling_average": 3, "multiplier": 3.0, "threshold": 3.0,
+             "windows_in_baseline": 6}
+    rows = [(WINDOWED, {"id": "v", "event_count": 10, "first_seen": "2024-01-01T00:00:00Z",
+                        "severity": "HIGH"}),
+            (CORRELATED, {"id": "c", "chain": {"success": {"id": "x"}}, "correlated": True}),
+            (BASELINE, {"id": "b", "baseline_stats": stats, "triggering_event": None}),
+            (BASELINE, {"id": "d", "chain": []}), (WINDOWED, {"event_count": 1})]
+    df = spark.createDataFrame([(json.dumps(r), t) for t, r in rows], "value string, topic string")
+    good, dead = parse_findings(df)
+    schemas.assert_schema(good, "aggregation")
+    got = {r.id: r for r in good.collect()}
+    assert {k: r.aggregation_type for k, r in got.items()} == {
+        "v": "velocity", "c": "cep_chain", "b": "baseline"}
+    assert got["c"].chain == '{"success":{"id":"x"}}' and got["v"].first_seen.year == 2024
+    assert got["b"].baseline_stats.rolling_average == 3.0 and got["c"].correlated
+    assert sorted(r.error for r in dead.collect()) == ["chain: expected object", "id: expected text"]
