@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from duskwatch.llm import bpe, langid, linededup, mixing, quality
+from duskwatch.llm import bpe, jaccard, langid, linededup, mixing, quality
 from duskwatch.llm.common import table
 
 
@@ -36,8 +36,13 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op2_source_mix, op4_quality_classifier, op5_sentencepiece, op6_language_id, op7_line_dedup)}
+    op2_source_mix, op4_quality_classifier, op5_sentencepiece, op6_language_id, op7_line_dedup,
+    op9_ngram_jaccard)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
