@@ -4,14 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from duskwatch.llm import bpe, jaccard, langid, linededup, mixing, quality
+from duskwatch.llm import bpe, imatch, jaccard, langid, linededup, mixing, quality, rules
 from duskwatch.llm.common import table
 
 
+def op1_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sizes(table(spark, sf_dir, "documents"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.quality_rules(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = langid.held_out(5, 0)
     scores = quality.quality_scores(table(spark, sf_dir, "documents"),
@@ -41,8 +49,8 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_source_mix, op4_quality_classifier, op5_sentencepiece, op6_language_id, op7_line_dedup,
-    op9_ngram_jaccard)}
+    op1_fingerprint, op2_source_mix, op3_quality_rules, op4_quality_classifier, op5_sentencepiece,
+    op6_language_id, op7_line_dedup, op9_ngram_jaccard)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
