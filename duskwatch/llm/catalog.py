@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from duskwatch.llm import bpe, imatch, jaccard, langid, linededup, mixing, quality, rules
-from duskwatch.llm.common import table
+from duskwatch.llm import bpe, imatch, jaccard, langid, linededup, mixing, quality, rules, warc
+from duskwatch.llm.common import stored, table
+from duskwatch.session import shared_dir
 
 
 def op1_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,9 +51,17 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_dir(spark)}/llm/warc-{uuid.uuid4().hex}"
+    manifest = warc.write_packages(table(spark, sf_dir, "pages"), folder)
+    records = stored(warc.read_packages(manifest, folder, payload=False).drop("payload", "url"), "records")
+    return warc.with_referred_page(records).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_fingerprint, op2_source_mix, op3_quality_rules, op4_quality_classifier, op5_sentencepiece,
-    op6_language_id, op7_line_dedup, op9_ngram_jaccard)}
+    op6_language_id, op7_line_dedup, op9_ngram_jaccard, op10_warc)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -74,4 +85,15 @@ ORACLE = {
             sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), ''))
                 AS kept_sha256
         FROM marked GROUP BY doc_id""",
+    "op10_warc": """
+        WITH p AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                sha1(coalesce(html, '')) AS payload_digest FROM pages),
+        r AS (
+            SELECT *, CASE WHEN payload_bytes >= 1000
+                THEN max(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS largest FROM p)
+        SELECT page_id, payload_bytes, payload_digest,
+            CASE WHEN page_id = largest THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN page_id <> largest THEN largest END AS refers_to
+        FROM r""",
 }
