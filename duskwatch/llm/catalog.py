@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from duskwatch.llm import bpe, imatch, jaccard, langid, linededup, mixing, quality, rules, warc
+from duskwatch.llm import bpe, imatch, jaccard, langid, linededup, mixing, quality, rules, substrings, warc
 from duskwatch.llm.common import stored, table
 from duskwatch.session import shared_dir
 
@@ -47,6 +47,13 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substrings.cut_repeated(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes",
+                      (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -61,7 +68,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_fingerprint, op2_source_mix, op3_quality_rules, op4_quality_classifier, op5_sentencepiece,
-    op6_language_id, op7_line_dedup, op9_ngram_jaccard, op10_warc)}
+    op6_language_id, op7_line_dedup, op8_substring_dedup, op9_ngram_jaccard, op10_warc)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
