@@ -18,9 +18,11 @@ of them: their list has a proven bound and is broadcast.
 Candidates.  Documents with equal sets are one class, and only classes are joined.  The
 members of a part's group are paired with its smallest member, never with each other.
 Pairs are sifted by a parity bit sketch of about four bits per n-gram, and the rest
-verified on the texts.  Where a group then still spans several components, pairs across
-components that pass the bit sketch are verified as well, which makes the join exact
-(components need no pair inside a component).
+verified on the texts.  Where a group then still spans several components, each member is
+paired with its nearest members of other components, by rounds: found links merge
+components, and the number of neighbours rises fourfold from round to round.  The rounds
+end when every pair across components that shares a part and passes the bit sketch has
+been verified, which makes the join exact (pairs within a component need no test).
 
 Groups of any size are split: within a task large groups shrink to their smallest member
 before the shuffle, and joins leave hot keys to Spark's skew handling.
@@ -301,14 +303,17 @@ def _verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     return by_slices(both.select("a", "b", "text_a", "text_b"), work, "a long, b long")
 
 
-def _group_pairs(n, node, comp, sketches) -> list[tuple[int, int]]:
-    """Pairs of one part's members (by rising n) across components that sketches let pass."""
+def _group_pairs(n, node, comp, sketches, most) -> list[tuple[int, int, bool]]:
+    """For each member of a part the nearest ``most`` smaller ones of other components.
+
+    Nearest by bit sketch, among those that it lets pass; the flag says there are more.
+    """
     out, length = [], np.array([len(x) for x in sketches])
     by_length = {x: np.flatnonzero(length == x) for x in set(length.tolist())}
     bits = {x: np.frombuffer(b"".join([sketches[i] for i in at]), np.uint8).reshape(-1, x)
             for x, at in by_length.items()}
     for j, mine in enumerate(sketches):
-        mine = np.frombuffer(mine, np.uint8)
+        mine, found, far = np.frombuffer(mine, np.uint8), [], []
         for folded in (False, True):        # sets within reach have this sketch length or half
             if folded:
                 mine = mine[:len(mine) // 2] ^ mine[len(mine) // 2:]
@@ -316,14 +321,20 @@ def _group_pairs(n, node, comp, sketches) -> list[tuple[int, int]]:
                 continue
             lo, hi = np.searchsorted(n[at], SIMILAR * n[j] - 1e-9), np.searchsorted(at, j)
             if lo < hi:
+                at = at[lo:hi]
                 apart = np.bitwise_count(bits[len(mine)][lo:hi] ^ mine).sum(1, dtype=np.int64)
-                near = apart <= (n[at[lo:hi]] + n[j]) * (1 - SIMILAR) / (1 + SIMILAR) + 1e-9
-                out += [(node[i], node[j]) for i in at[lo:hi][near] if comp[i] != comp[j]]
+                near = ((apart <= (n[at] + n[j]) * (1 - SIMILAR) / (1 + SIMILAR) + 1e-9)
+                        & (comp[at] != comp[j]))
+                found.append(at[near])
+                far.append(apart[near])
+        if found and len(all_ := np.concatenate(found)):
+            order = np.argsort(np.concatenate(far), kind="stable")
+            out += [(node[i], node[j], len(all_) > most) for i in all_[order[:most]]]
     return out
 
 
-def _across(members: DataFrame, classes: DataFrame, comp: DataFrame, tested: DataFrame) -> DataFrame:
-    """Pairs that share a part but not a component, pass the bit sketch and are not tested yet.
+def _across(members: DataFrame, classes: DataFrame, comp: DataFrame, most: int) -> DataFrame:
+    """Pairs (a, b, more) that share a part but not a component and pass the bit sketch.
 
     A part with two members has had its only pair tested.
     """
@@ -352,11 +363,14 @@ def _across(members: DataFrame, classes: DataFrame, comp: DataFrame, tested: Dat
         sketch, out = pdf["sketch"].tolist(), set()
         ends = np.flatnonzero(np.diff(sig)) + 1
         for lo, hi in zip([0, *ends], [*ends, len(sig)]):
-            out.update(_group_pairs(n[lo:hi], node[lo:hi], comp_[lo:hi], sketch[lo:hi]))
-        return pd.DataFrame(list(out), columns=["a", "b"]).astype("int64")
+            out.update(_group_pairs(n[lo:hi], node[lo:hi], comp_[lo:hi], sketch[lo:hi], most))
+        return pd.DataFrame(list(out), columns=["a", "b", "more"]).astype(
+            {"a": "int64", "b": "int64", "more": "bool"})
 
-    pairs = left.select("sig", "node", "n", "component", "sketch").mapInPandas(run, "a long, b long")
-    return (_both(pairs).distinct().join(_both(tested), ["a", "b"], "left_anti"))
+    pairs = left.select("sig", "node", "n", "component", "sketch").mapInPandas(
+        run, "a long, b long, more boolean")
+    return (pairs.groupBy(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+            .agg(F.bool_or("more").alias("more")))
 
 
 def _both(pairs: DataFrame) -> DataFrame:
@@ -382,9 +396,20 @@ def labelled_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     links = stored(_verify(tested, docs, classes), "links")
     comp = stored(components(links), "components")
     members = parts.where("kind <> 1").select("sig", F.col("node").alias("member")).distinct()
-    more = stored(_verify(stored(_across(members, classes, comp, tested), "pairs"), docs, classes), "links")
-    if more.head(1):
-        comp = components(more.union(comp.select("node", "component")))
+    members, most, tested = stored(members, "members"), 0, _both(tested)
+    while True:
+        # The first round looks at one part in 16: it merges most of what will be merged.
+        at = members if most else members.where(F.pmod("sig", F.lit(16)) == 0)
+        pairs = stored(_across(at, classes, comp, max(most, 1)), "pairs")
+        fresh = stored(pairs.select("a", "b").join(tested, ["a", "b"], "left_anti"), "pairs")
+        if fresh.head(1):
+            tested = tested.union(fresh)
+            links = stored(_verify(fresh, docs, classes), "links")
+            if links.head(1):
+                comp = stored(components(links.union(comp.select("node", "component"))), "components")
+        elif most and not pairs.where("more").head(1):
+            break
+        most = max(1, 4 * most)
     labels = (classes.join(comp, "node", "left")
               .select("s1", "s2", "n", "id", "text_hash",
                       F.coalesce("component", "node").alias("component")))
