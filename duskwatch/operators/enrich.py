@@ -8,7 +8,6 @@ from duskwatch.functions.text import filled, null_if_empty
 from duskwatch.operators.lookup import lookup_join
 
 MALICIOUS_FROM = 25
-PULSES_READ = 10
 REPUTATION_SOURCE = "abuseipdb,ipinfo"
 
 # Abuse category labels by number.
@@ -70,9 +69,9 @@ def category_labels(ids: Column) -> Column:
                                        lambda i: labels[i]))
 
 
-def pulse_terms(pulses: Column, field: str) -> Column:
-    """Distinct, sorted, non-blank terms of the first pulses of a feed entry."""
-    lists = F.transform(F.slice(pulses, 1, PULSES_READ), lambda p: p[field])
+def pulse_terms(pulses: Column, field: str, first: int | None = None) -> Column:
+    """Distinct, sorted, non-blank terms of the pulses of a feed entry (or its first ones)."""
+    lists = F.transform(pulses if first is None else F.slice(pulses, 1, first), lambda p: p[field])
     terms = F.array_distinct(F.flatten(F.filter(lists, lambda x: x.isNotNull())))
     if field == "attack_ids":
         terms = F.filter(terms, lambda x: x != "")

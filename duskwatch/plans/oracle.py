@@ -57,7 +57,7 @@ ACTION = ("CASE WHEN lower(trim(action_text)) IN ('allow', 'permit', 'pass') THE
           "WHEN lower(trim(action_text)) = 'drop' THEN 'DROP' "
           "WHEN lower(trim(action_text)) IN ('alert', 'monitor') THEN 'ALERT' END")
 LABELS = "[" + ", ".join(f"'{CATEGORY_LABELS[k]}'" for k in sorted(CATEGORY_LABELS)) + "]"
-PULSES = "range(1, least(s_suppkey % 14, 10) + 1)"
+PULSES = "range(1, s_suppkey % 14 + 1)"
 WORDS = "regexp_split_to_array(lower({0}), '[^\\p{{L}}\\p{{N}}]+')"
 
 STEPS = {

@@ -49,6 +49,8 @@ def shared_dir(spark: SparkSession) -> str:
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors see")
         path = tempfile.mkdtemp(prefix="duskwatch-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path

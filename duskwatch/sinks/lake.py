@@ -6,6 +6,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from duskwatch.functions.cleaning import instant
 from duskwatch.functions.text import JSON_TIME, json_text
 from duskwatch.operators.deadletter import dead_letters
 
@@ -50,7 +51,7 @@ def split_by_time(rows: DataFrame, layer: str, topic: str,
                   as_of: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """(rows with partition columns, dead letters for rows without a readable time)."""
     field = F.col(LAYER_TIME[layer])
-    at = F.try_to_timestamp(field.cast("string")) if layer == "bronze" else field
+    at = instant(field.cast("string")) if layer == "bronze" else field
     good = with_hours(rows.where(at.isNotNull()), at)
     bad = rows.where(at.isNull()).select(
         json_text(F.struct(*[c for c in rows.columns if c != "raw"])).alias("value"),

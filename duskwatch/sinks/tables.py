@@ -119,3 +119,19 @@ def expired_dates(spark: SparkSession, path: str, as_of, days: int) -> list[str]
     dates = (spark.read.parquet(path).select(DATE).distinct()
              .where(F.col(DATE) < F.to_date(F.lit(as_of)) - days).orderBy(DATE))
     return [str(r[0]) for r in dates.collect()]
+
+
+def insert_dead_letters(dead: DataFrame, path: str) -> None:
+    """Append dead letters by a hash of what failed, where and why; repeats add nothing.
+
+    Folders follow the hash, so a batch looks its letters up by folder and hash,
+    whatever the day it is delivered on, and streams may share one table.
+    """
+    spark = dead.sparkSession
+    what = F.to_json(F.struct("stage", "topic", "error", "original_message"))
+    rows = (dead.withColumn("id", F.sha2(what, 256))
+            .withColumn("id_prefix", F.substring("id", 1, 2)).dropDuplicates(["id"]))
+    target = existing(spark, path)
+    if target is not None:
+        rows = rows.join(target.select("id_prefix", "id"), ["id_prefix", "id"], "left_anti")
+    rows.write.mode("append").partitionBy("id_prefix").parquet(path)

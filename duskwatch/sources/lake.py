@@ -11,8 +11,8 @@ from duskwatch import schemas
 PARTITIONS = "year int, month int, day int, hour int"
 
 
-def hour_range(start: datetime, end: datetime) -> Column:
-    """Predicate on the partition columns for start <= time < end (UTC).
+def hour_range(start: datetime | None, end: datetime | None) -> Column:
+    """Predicate on the partition columns for start <= time < end (UTC); None leaves a side open.
 
     Written as an ordered comparison of (year, month, day, hour), so that only
     the folders of the range are listed and read.
@@ -24,10 +24,12 @@ def hour_range(start: datetime, end: datetime) -> Column:
             test = (F.col(name) > value) | ((F.col(name) == value) & test)
         return test
 
+    inside = F.lit(True) if start is None else at_least(start, strict=False)
+    if end is None:
+        return inside
     # The last hour counts when the range reaches into it.
     last_full = (end.minute, end.second, end.microsecond) == (0, 0, 0)
-    before_end = ~at_least(end, strict=not last_full)
-    return at_least(start, strict=False) & before_end
+    return inside & ~at_least(end, strict=not last_full)
 
 
 def read_lake(spark: SparkSession, path: str, layer: str | None = None, fmt: str = "json",
@@ -42,4 +44,4 @@ def read_lake(spark: SparkSession, path: str, layer: str | None = None, fmt: str
                            for f in schemas.layer_schema(layer).fields)
         reader = reader.schema(f"{fields}, {PARTITIONS}")
     rows = reader.format(fmt).load(path)
-    return rows.where(hour_range(start, end)) if start and end else rows
+    return rows if start is None and end is None else rows.where(hour_range(start, end))

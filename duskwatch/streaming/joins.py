@@ -4,20 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from duskwatch.functions.timing import seconds
 from duskwatch.operators.interval import gold_points
 
-# How long gold events are kept for findings to come: three look-backs.
-KEEP = "30 minutes"
+# Gold events are kept for findings to come over so many of the detectors' windows.
+KEEP_WINDOWS = 3
 
 
-def enrich_findings_stream(findings: DataFrame, gold: DataFrame, keep: str = KEEP,
-                           delay: str = "30 seconds") -> DataFrame:
+def enrich_findings_stream(findings: DataFrame, gold: DataFrame, window: str = "10 minutes",
+                           keep: str | None = None, delay: str = "30 seconds") -> DataFrame:
     """Summary per finding of a stream, as in ``interval.enrichment_summary``.
 
     Both sides carry event-time watermarks and the join bounds the distance of a
     gold event from the finding, so Spark drops state it can no longer match.
     A finding without a match leaves with NULL scores once the watermark passed.
+    ``window`` is the longest span of a finding; keeping less would lose matches.
     """
+    keep = keep or f"{KEEP_WINDOWS * seconds(window)} seconds"
+    if seconds(keep) < seconds(window):
+        raise ValueError(f"gold events kept for {keep} miss matches of findings over {window}")
     left = (findings.select(
         F.col("id").alias("finding_id"), "source_ip", "source_event_type", "event_time",
         F.coalesce("first_seen", "event_time").alias("range_start"),

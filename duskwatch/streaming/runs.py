@@ -48,21 +48,21 @@ def clean_stream(messages: DataFrame, silver_path: str, dead_path: str, once: bo
     def each(batch: DataFrame, number: int) -> None:
         good, dead = parse_bronze(batch, as_of=F.col("timestamp"))
         tables.insert_ignore(clean_event(good), silver_path, "id", order=["event_time"])
-        # Dead letters have no key: a repeated batch overwrites its own folder.
-        (dead.withColumn("batch", F.lit(number)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(dead_path))
+        tables.insert_dead_letters(dead, dead_path)
 
     return start(messages, "clean", each, once, lake.profile("silver", env).interval,
                  checkpoint_dir)
 
 
-def archive_stream(layer_rows: DataFrame, layer: str, path: str, topic: str, once: bool = False,
-                   checkpoint_dir: str | None = None, env: str = "dev") -> StreamingQuery:
-    """Rows of a layer -> its hour-partitioned archive."""
+def archive_stream(layer_rows: DataFrame, layer: str, path: str, topic: str, dead_path: str,
+                   once: bool = False, checkpoint_dir: str | None = None,
+                   env: str = "dev") -> StreamingQuery:
+    """Rows of a layer -> its hour-partitioned archive; rows without a time -> dead letters."""
     sizing = lake.profile(layer, env)
 
     def each(batch: DataFrame, number: int) -> None:
-        good, _ = lake.split_by_time(batch, layer, topic)
+        good, bad = lake.split_by_time(batch, layer, topic)
+        tables.insert_dead_letters(bad, dead_path)
         lake.write_lake(good, path, max_records=sizing.records)
 
     return start(layer_rows, f"archive-{layer.replace('/', '-')}", each, once, sizing.interval,

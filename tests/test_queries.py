@@ -4,8 +4,14 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import connect, differences
+from duskwatch.plans.catalog import QUERIES
+from duskwatch.plans.oracle import ORACLE
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+
+
+def test_entry_offers_the_catalog():
+    assert QUERIES.items() <= entry.queries().items() and ORACLE.items() <= entry.oracle_sql().items()
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.fixture(scope="module")

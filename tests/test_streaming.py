@@ -201,3 +201,19 @@ def test_record_time_falls_back_to_broker_time(spark):
 def test_layer_schemas_parse(spark):
     for layer in schemas.LAYERS:
         assert schemas.layer_schema(layer).fields
+
+
+def test_gold_is_kept_for_a_whole_window(spark):
+    with pytest.raises(ValueError, match="miss matches"):
+        joins.enrich_findings_stream(None, None, window="2 hours", keep="30 minutes")
+
+
+def test_archive_keeps_rows_without_a_time_as_dead_letters(spark, tmp_path):
+    source = str(tmp_path / "in")
+    rows_ = [("2024-01-01T00:00:00Z", "good"), ("no time", "bad")]
+    spark.createDataFrame(rows_, "timestamp string, id string").write.parquet(source)
+    stream = spark.readStream.schema("timestamp string, id string").parquet(source)
+    runs.archive_stream(stream, "bronze", str(tmp_path / "lake"), "b", str(tmp_path / "dead"), once=True,
+                        checkpoint_dir=str(tmp_path / "c")).awaitTermination()
+    assert spark.read.json(str(tmp_path / "lake")).count() == 1
+    assert "bad" in spark.read.parquet(str(tmp_path / "dead")).first().original_message
