@@ -17,6 +17,8 @@ SPACE_CHARS = " \t\n\x0b\f\r"
 
 # Rows handed to Python code at a time; bounds the texts alive as Python objects.
 SLICE = 256
+# Edges that one task shrinks at a time.
+CHUNK = 1 << 21
 
 NO_ID = -(1 << 63)
 
@@ -92,19 +94,62 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def _forest(edges: DataFrame) -> DataFrame:
+    """Edges (a, b) with a < b that join the same nodes, one star per component and task.
+
+    A task's edges are taken up CHUNK at a time, so memory stays bounded.
+    """
+    def run(batches):
+        held, size = [], 0
+
+        def stars():
+            ends, at = np.unique(np.concatenate(held), return_inverse=True)
+            at, low = at.reshape(-1, 2), np.arange(len(ends))
+            while True:                     # smallest number around each node, then jump to its own
+                least = np.minimum(low[at[:, 0]], low[at[:, 1]])
+                new = low.copy()
+                np.minimum.at(new, low[at].ravel(), np.repeat(least, 2))
+                new = new[new]
+                new = new[low]
+                if (new == low).all():
+                    break
+                low = new
+            b = np.flatnonzero(low != np.arange(len(ends)))
+            return pa.RecordBatch.from_pydict({"a": ends[low[b]], "b": ends[b]})
+
+        for batch in batches:
+            held.append(np.stack([batch["a"].to_numpy(), batch["b"].to_numpy()], 1).ravel())
+            size += batch.num_rows
+            if size >= CHUNK:
+                yield stars()
+                held, size = [], 0
+        if held:
+            yield stars()
+
+    return edges.mapInArrow(run, "a long, b long")
+
+
+def _is_forest(edges: DataFrame) -> bool:
+    """Whether every component is a star around its smallest node."""
+    roles = (edges.select(F.col("a").alias("node"), F.lit(0).alias("role"))
+             .union(edges.select("b", F.lit(1))))
+    bad = (roles.groupBy("node").agg(F.min("role").alias("lo"), F.sum("role").alias("s"))
+           .where("s > 1 or (s = 1 and lo = 0)"))
+    return not bad.head(1)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of edges (a, b): rows (node, component), the smallest id.
 
-    Alternates large-star and small-star steps: each node points its larger (then its
-    smaller) neighbours to the smallest one around it.  Per-node minima are aggregates,
-    so a node with very many neighbours is combined before the shuffle, and joined
-    back by a join whose hot keys Spark splits.  Every round is stored in the shared
-    folder, and the loop ends when a round changes nothing.
+    Each task first shrinks its edges to stars.  Then large-star and small-star steps
+    alternate: each node points its larger (then its smaller) neighbours to the smallest
+    one around it.  Per-node minima are aggregates, so a node with very many neighbours is
+    combined before the shuffle, and joined back by a join whose hot keys Spark splits.
+    Every round is stored in the shared folder, and the loop ends when all components are
+    stars.
     """
-    edges = stored(edges.where("a <> b").select(F.least("a", "b").alias("a"),
-                                                F.greatest("a", "b").alias("b")).distinct(), "edges")
-    last = None
-    while True:
+    edges = stored(_forest(edges.where("a <> b").select("a", "b")).distinct(), "edges")
+    while not _is_forest(edges):
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
         large = (both.where("b > a").join(low, "a").where("b <> m")
@@ -114,9 +159,6 @@ def components(edges: DataFrame) -> DataFrame:
         small = (down.join(low, "a")
                  .select(F.explode(F.array(F.struct(F.col("m").alias("a"), F.col("a").alias("b")),
                                            F.struct(F.col("m").alias("a"), "b"))).alias("e"))
-                 .select("e.a", "e.b").where("a <> b").distinct())
-        edges = stored(small, "edges")
-        sign = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if sign == last:
-            return edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("component"))
-        last = sign
+                 .select("e.a", "e.b").where("a <> b"))
+        edges = stored(_forest(small).distinct(), "edges")
+    return edges.select(F.col("b").alias("node"), F.col("a").alias("component"))

@@ -20,7 +20,7 @@ members of a part's group are paired with its smallest member, never with each o
 Pairs are sifted by a parity bit sketch of about four bits per n-gram, and the rest
 verified on the texts.  Where a group then still spans several components, each member is
 paired with its nearest members of other components, by rounds: found links merge
-components, and the number of neighbours rises fourfold from round to round.  The rounds
+components, and the number of neighbours rises from round to round (by RISE).  The rounds
 end when every pair across components that shares a part and passes the bit sketch has
 been verified, which makes the join exact (pairs within a component need no test).
 
@@ -51,6 +51,8 @@ SMALL, RATIO, PARTS, SMALL_PARTS = 64, 4, 3, 1 << 20
 # n-grams or parts gathered per task before they are combined, and the members of a part
 # that one task passes on as they are.
 CHUNK, LOCAL = 1 << 21, 16
+# How many times more neighbours each round across components looks at.
+RISE = 256
 
 _rng = np.random.default_rng(97)
 _BYTE = _rng.integers(0, 1 << 64, 256, np.uint64, endpoint=False)
@@ -396,20 +398,22 @@ def labelled_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     links = stored(_verify(tested, docs, classes), "links")
     comp = stored(components(links), "components")
     members = parts.where("kind <> 1").select("sig", F.col("node").alias("member")).distinct()
-    members, most, tested = stored(members, "members"), 0, _both(tested)
-    while True:
-        # The first round looks at one part in 16: it merges most of what will be merged.
-        at = members if most else members.where(F.pmod("sig", F.lit(16)) == 0)
-        pairs = stored(_across(at, classes, comp, max(most, 1)), "pairs")
-        fresh = stored(pairs.select("a", "b").join(tested, ["a", "b"], "left_anti"), "pairs")
+    members, tested = stored(members, "members"), _both(tested)
+    # The first round looks at one part in 16: it merges most of what will be merged.
+    at, most, more = members.where(F.pmod("sig", F.lit(16)) == 0), 1, True
+    while more:
+        pairs = _across(at, classes, comp, most).join(tested.withColumn("known", F.lit(True)),
+                                                      ["a", "b"], "left")
+        pairs = stored(pairs, "pairs")
+        fresh = pairs.where("known is null").select("a", "b")
         if fresh.head(1):
             tested = tested.union(fresh)
             links = stored(_verify(fresh, docs, classes), "links")
             if links.head(1):
                 comp = stored(components(links.union(comp.select("node", "component"))), "components")
-        elif most and not pairs.where("more").head(1):
-            break
-        most = max(1, 4 * most)
+        if at is members:
+            most, more = most * RISE, bool(pairs.where("more").head(1))
+        at = members
     labels = (classes.join(comp, "node", "left")
               .select("s1", "s2", "n", "id", "text_hash",
                       F.coalesce("component", "node").alias("component")))
