@@ -11,8 +11,8 @@ import pytest
 
 import corpus_pipeline
 from compare import connect, differences
-from duskwatch.llm import (bpe, catalog, imatch, jaccard, langid, linededup, mixing, quality, rules,
-                           substrings, warc)
+from duskwatch.llm import (bpe, catalog, common, imatch, jaccard, langid, linededup, mixing, quality,
+                           rules, substrings, warc)
 from duskwatch.llm.common import components
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -215,6 +215,21 @@ def test_components_of_chain_and_star(spark):
     assert all(got[i] == 0 for i in range(1, 31)) and all(got[i] == 100 for i in range(101, 130))
 
 
+@pytest.mark.parametrize("chunk", [3, 1 << 20])
+def test_components_of_random_edges(spark, chunk, monkeypatch):
+    monkeypatch.setattr(common, "CHUNK", chunk)
+    rng = np.random.default_rng(5)
+    edges = rng.integers(0, 400, (250, 2)).tolist() + [(i * 7919 % 1009 + 1000, (i + 1) * 7919 % 1009 + 1000)
+                                                       for i in range(200)]
+    low = {x: x for e in edges for x in e}
+    for _ in low:
+        for a, b in edges:
+            low[a] = low[b] = min(low[a], low[b])
+    got = components(spark.createDataFrame(edges, "a long, b long").repartition(5)).collect()
+    assert sorted(map(tuple, got)) == sorted((x, y) for x, y in low.items() if x != y)
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
 def test_packages(spark, tmp_path):
     big = "<p>é</p>" * 300
     pages = spark.createDataFrame(
