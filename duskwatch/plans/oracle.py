@@ -377,13 +377,13 @@ def statement(need: str, body: str) -> str:
 EVENT_COLUMNS = f"""
     id AS silver_id, original_id, {clock('event_time')} AS event_time,
     {clock('ingestion_time')} AS ingestion_time, NULL::INTEGER AS processing_time_ms, event_type,
-    severity, action, protocol, application, connection_state, response_code::INTEGER AS response_code,
+    severity, action, protocol, application, connection_state, response_code,
     rule_id, source_ip, destination_ip, destination_domain, source_port, destination_port,
-    bytes_sent, bytes_received, packet_count::INTEGER AS packet_count,
-    duration_ms::INTEGER AS duration_ms, {text('tcp_flags')} AS tcp_flags, user_name, device_name,
+    bytes_sent, bytes_received, packet_count,
+    duration_ms, {text('tcp_flags')} AS tcp_flags, user_name, device_name,
     source_type, pipeline, collector, network_segment, security_zone, geo_location,
-    vlan_id::INTEGER AS vlan_id, {text('asset_tags')} AS asset_tags, correlation_id, process_name,
-    process_id::INTEGER AS process_id, cpu_percent, memory_percent, NULL::VARCHAR AS policy_name,
+    vlan_id, {text('asset_tags')} AS asset_tags, correlation_id, process_name,
+    process_id, cpu_percent, memory_percent, NULL::VARCHAR AS policy_name,
     NULL::VARCHAR AS policy_violation_type, policy_severity, threat_score, recommended_action,
     mitre_tactic, narrative,
     '{{"severity_base":' || p_severity || ',"event_type_boost":' || p_type || ',"action_modifier":'

@@ -21,23 +21,20 @@ def events_wide(gold: DataFrame) -> DataFrame:
     def renamed(*names):
         return [s[n].alias(n) for n in names]
 
-    def narrow(*names):
-        return [s[n].try_cast("int").alias(n) for n in names]
-
     return gold.select(
         s["id"].alias("silver_id"), *renamed("original_id", "event_time", "ingestion_time"),
         "processing_time_ms",
         *renamed("event_type", "severity", "action", "protocol", "application",
                  "connection_state"),
-        *narrow("response_code"), *renamed("rule_id", "source_ip", "destination_ip",
+        *renamed("response_code"), *renamed("rule_id", "source_ip", "destination_ip",
                                            "destination_domain", "source_port",
                                            "destination_port", "bytes_sent", "bytes_received"),
-        *narrow("packet_count", "duration_ms"), *renamed("tcp_flags"),
+        *renamed("packet_count", "duration_ms"), *renamed("tcp_flags"),
         s["user"].alias("user_name"),
         *renamed("device_name", "source_type", "pipeline", "collector", "network_segment",
                  "security_zone", "geo_location"),
-        *narrow("vlan_id"), *renamed("asset_tags", "correlation_id", "process_name"),
-        *narrow("process_id"), *renamed("cpu_percent", "memory_percent"),
+        *renamed("vlan_id"), *renamed("asset_tags", "correlation_id", "process_name"),
+        *renamed("process_id"), *renamed("cpu_percent", "memory_percent"),
         policy["policy_name"].alias("policy_name"),
         policy["violation_type"].alias("policy_violation_type"),
         policy["policy_severity"].alias("policy_severity"),
