@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from duskwatch import schemas
 from duskwatch.functions import cleaning as c
 from duskwatch.functions.text import given
 
@@ -11,16 +12,16 @@ CLEANING_VERSION = "1.0"
 CLEAN_TOPIC_STAGE = "clean"
 
 
-def stable_id() -> Column:
-    """Surrogate key from the raw identifying fields.
+def stable_id(bronze: DataFrame) -> Column:
+    """Surrogate key from all fields of a bronze record, nested ones included.
 
     Replaying the same input gives the same key, so idempotent sinks see a
-    replay, and exact copies of a record, as one record.
+    replay, and exact copies of a record, as one record.  Records that differ in
+    any field have different keys; an absent field counts as null.
     """
-    parts = ["id", "timestamp", "source_ip", "destination_ip", "event_type",
-             "source_port", "destination_port"]
-    return F.sha2(F.concat_ws("|", *[F.coalesce(F.col(p).cast("string"), F.lit(""))
-                                     for p in parts]), 256)
+    fields = [f.name for f in schemas.layer_schema("bronze").fields if f.name in bronze.columns]
+    # One JSON text: an expression per field would make Spark's inferred constraints explode.
+    return F.sha2(F.concat_ws("", F.to_json(F.struct(*fields))), 256)
 
 
 def clean_event(bronze: DataFrame, as_of: Column | None = None,
@@ -47,7 +48,7 @@ def clean_event(bronze: DataFrame, as_of: Column | None = None,
         time, src, dst, severity, action, kind, domain, ingest, sport, dport)])
     no_text = F.array().cast("array<string>")
     return bronze.select(
-        stable_id().alias("id"),
+        stable_id(bronze).alias("id"),
         col("id").alias("original_id"),
         time.value.alias("event_time"),
         ingest.value.alias("ingestion_time"),

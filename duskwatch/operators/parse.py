@@ -235,18 +235,23 @@ def decode_records(df: DataFrame, fields: dict, value: str = "value") -> DataFra
                    "record", "error")
 
 
-def _split(df, fields, value, topic, stage, as_of):
+def _split(df, fields, value, topic, stage, as_of, *carried):
     parsed = decode_records(df, fields, value)
-    good = parsed.where(F.col("error").isNull()).select("record.*")
+    good = parsed.where(F.col("error").isNull()).select("record.*", *carried)
     dead = dead_letters(parsed.where(F.col("error").isNotNull()), stage=stage, message=value,
                         topic=topic, as_of=as_of)
     return good, dead
 
 
 def parse_bronze(df: DataFrame, value: str = "value", topic: str = "topic",
-                 as_of=None) -> tuple[DataFrame, DataFrame]:
-    """Messages -> (bronze records, dead letters of stage ``parse``)."""
-    return _split(df, BRONZE_FIELDS, value, topic, "parse", as_of)
+                 as_of=None, received: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Messages -> (bronze records, dead letters of stage ``parse``).
+
+    ``received`` names the column with a message's arrival time; records carry it
+    on as ``received_at``, to stand in for event times that cannot be read.
+    """
+    carried = [F.col(received).alias("received_at")] if received else []
+    return _split(df, BRONZE_FIELDS, value, topic, "parse", as_of, *carried)
 
 
 def parse_silver(df: DataFrame, value: str = "value", topic: str = "topic",

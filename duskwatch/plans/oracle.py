@@ -57,6 +57,47 @@ ACTION = ("CASE WHEN lower(trim(action_text)) IN ('allow', 'permit', 'pass') THE
           "WHEN lower(trim(action_text)) = 'drop' THEN 'DROP' "
           "WHEN lower(trim(action_text)) IN ('alert', 'monitor') THEN 'ALERT' END")
 LABELS = "[" + ", ".join(f"'{CATEGORY_LABELS[k]}'" for k in sorted(CATEGORY_LABELS)) + "]"
+
+
+def json_string(name: str, x: str) -> str:
+    return f"'\"{name}\":\"' || {x} || '\"'"
+
+
+def json_number(name: str, x: str) -> str:
+    return f"'\"{name}\":' || ({x})::VARCHAR"
+
+
+def json_list(name: str, x: str) -> str:
+    return f"'\"{name}\":[' || coalesce('\"' || {x} || '\"', '') || ']'"
+
+
+def json_object(name: str, present: str, *fields: str) -> str:
+    return (f"CASE WHEN {present} THEN '\"{name}\":{{' || concat_ws(',', {', '.join(fields)}) "
+            "|| '}' END")
+
+
+# All fields of a raw record that are not null, as JSON in the order of its layer.
+RECORD_ID = "sha256('{' || concat_ws(',', " + ", ".join([
+    json_string("id", "id_text"), json_string("timestamp", "time_text"), json_string("source_ip", "src_text"),
+    json_string("destination_ip", "dst_text"), json_string("destination_domain", "domain_text"),
+    json_number("source_port", "sport"), json_number("destination_port", "dport"),
+    json_string("protocol", "protocol_text"), json_string("application", "application_text"),
+    json_string("action", "action_text"), json_number("bytes_sent", "sent"),
+    json_number("bytes_received", "received"), json_number("packet_count", "packets"),
+    json_number("duration_ms", "duration"), json_string("event_type", "type_text"),
+    json_string("severity", "severity_text"), json_string("user", "user_text"),
+    json_string("correlation_id", "correlation"), json_string("device_name", "device"), json_number("vlan_id", "vlan"),
+    json_string("geo_location", "geo"),
+    json_object("log_metadata", "has_meta", json_string("collector", "collector_text"),
+           json_string("source_type", "source_kind"), json_string("ingestion_time", "ingest_text")),
+    json_object("network_details", "has_net", json_string("security_zone", "zone")),
+    json_string("connection_state", "state"), json_string("tcp_flags", "flags_text"),
+    json_object("policy_violation", "has_policy", json_string("policy_severity", "policy_level")),
+    json_list("asset_tags", "tag"),
+    json_object("resource_utilization", "has_load", json_number("cpu_percent", "cpu"),
+           json_string("process_name", "process"), json_number("process_id", "process_no")),
+    json_number("response_code", "response"), json_list("threat_indicators", "indicator"),
+    json_string("rule_id", "rule")]) + ") || '}')"
 PULSES = "range(1, s_suppkey % 14 + 1)"
 WORDS = "regexp_split_to_array(lower({0}), '[^\\p{{L}}\\p{{N}}]+')"
 
@@ -87,9 +128,7 @@ STEPS = {
         FROM hosts""",
     "silver": f"""
         SELECT n, id_text AS original_id,
-          sha256(id_text || '|' || time_text || '|' || coalesce(src_text, '') || '|' || dst_text
-                 || '|' || coalesce(type_text, '') || '|' || coalesce(sport::VARCHAR, '') || '|'
-                 || dport) AS id,
+          {RECORD_ID} AS id,
           event_time,
           CASE WHEN has_meta AND ingest_text <> '' THEN coalesce({instant('ingest_text')}, {AS_OF})
                END AS ingestion_time,

@@ -44,10 +44,15 @@ def start(stream: DataFrame, name: str, each_batch: Callable[[DataFrame, int], N
 
 def clean_stream(messages: DataFrame, silver_path: str, dead_path: str, once: bool = False,
                  checkpoint_dir: str | None = None, env: str = "dev") -> StreamingQuery:
-    """Bronze messages -> silver table and dead-letter table."""
+    """Bronze messages -> silver table and dead-letter table.
+
+    A record without a readable time gets its message's time, which a replay on
+    another day does not change, so its key stays in the same date folder.
+    """
     def each(batch: DataFrame, number: int) -> None:
-        good, dead = parse_bronze(batch, as_of=F.col("timestamp"))
-        tables.insert_ignore(clean_event(good), silver_path, "id", order=["event_time"])
+        good, dead = parse_bronze(batch, as_of=F.col("timestamp"), received="timestamp")
+        silver = clean_event(good, as_of=F.coalesce("received_at", F.current_timestamp()))
+        tables.insert_ignore(silver, silver_path, "id", order=["event_time"])
         tables.insert_dead_letters(dead, dead_path)
 
     return start(messages, "clean", each, once, lake.profile("silver", env).interval,

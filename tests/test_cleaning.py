@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from duskwatch.functions import cleaning as c
 from duskwatch.functions.text import given, outer_fences, strip_fences
+from duskwatch.operators.clean import stable_id
 
 AS_OF = dt.datetime(2030, 1, 1)
 
@@ -96,3 +97,18 @@ def test_fences(spark):
     got = spark.createDataFrame([("```json\n[1]\n```",), (" [1] ",), ("```[1]",)], "x string")
     assert [r[0] for r in got.select(outer_fences(F.col("x"))).collect()] == ["[1]"] * 3
     assert [r[0] for r in got.select(strip_fences(F.col("x"))).collect()] == ["[1]"] * 3
+
+
+def test_records_that_differ_anywhere_have_different_ids(spark):
+    schema = ("id string, timestamp string, source_ip string, action string, user string, "
+              "bytes_sent bigint, asset_tags array<string>, log_metadata struct<collector:string>")
+    base = ("a", "t", "1.1.1.1", "ALLOW", "u", 1, ["x"], ("c",))
+    others = [("a|", "t", *base[2:]), ("a", "|t", *base[2:]), (*base[:3], "BLOCK", *base[4:]),
+              (*base[:4], "v", *base[5:]), (*base[:5], None, *base[6:]),
+              (*base[:6], ["x", "y"], base[7]), (*base[:6], [], base[7]), (*base[:6], None, base[7]),
+              (*base[:7], ("d",)), (*base[:7], (None,)), (*base[:7], None)]
+    rows = spark.createDataFrame([base, base, *others], schema)
+    ids = [r[0] for r in rows.select(stable_id(rows)).collect()]
+    assert ids[0] == ids[1] and len(set(ids)) == len(others) + 1
+    moved = rows.select("user", *[x for x in rows.columns if x != "user"])
+    assert moved.select(stable_id(moved)).first()[0] == ids[0]

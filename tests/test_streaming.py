@@ -217,3 +217,18 @@ def test_archive_keeps_rows_without_a_time_as_dead_letters(spark, tmp_path):
                         checkpoint_dir=str(tmp_path / "c")).awaitTermination()
     assert spark.read.json(str(tmp_path / "lake")).count() == 1
     assert "bad" in spark.read.parquet(str(tmp_path / "dead")).first().original_message
+
+
+def test_replay_on_another_day_adds_no_row(spark, tmp_path):
+    """A record without a readable time keeps the time of its message."""
+    silver, dead = str(tmp_path / "silver"), str(tmp_path / "dead")
+    source = str(tmp_path / "in")
+    line = json.dumps({"id": "x", "timestamp": "", "source_ip": "1.2.3.4"})
+    spark.createDataFrame([(line, "b", dt.datetime(2024, 5, 6, 23, 59))],
+                          "value string, topic string, timestamp timestamp").write.parquet(source)
+    for attempt in ("one", "two"):
+        stream = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
+        runs.clean_stream(stream, silver, dead, once=True,
+                          checkpoint_dir=str(tmp_path / attempt)).awaitTermination(120)
+    rows_ = spark.read.parquet(silver).select("event_time").collect()
+    assert [r.event_time for r in rows_] == [dt.datetime(2024, 5, 6, 23, 59)]
