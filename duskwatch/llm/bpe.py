@@ -2,11 +2,15 @@
 
 The vocabulary is a merge-type SentencePiece model with byte fallback, given by its path.
 A text is cut before each run of spaces, since no piece spans such a place.  Within a
-segment an agenda holds candidate merges by score, then position; a candidate taken from
-it is skipped for good when its byte of a keyed hash of (seed, variant, segment), chosen
-by its two places, falls below the dropout rate (in 256ths).  The variant, one of ``VARIANTS``, follows from the document and
-the segment's number, so a word is cut in several ways over the corpus while equal
-(segment, variant) pairs are worked out once per task.  Retries give equal results.
+segment an agenda holds candidate merges by score, then position; each candidate taken
+from it is skipped for good with the dropout rate.  The draws are keyed by (seed,
+document, segment's place), one for each candidate in the order of the agenda, so every
+occurrence of a word is cut on its own.  Retries give equal results.
+
+Instead of a coin per candidate, the number of candidates up to the next skipped one is
+drawn, which has the same distribution.  A short segment's cuts are remembered as a tree:
+a node stands for the candidates skipped so far and holds the pieces that come out if no
+other is; its children are by the next one skipped.  The tree saves work only.
 
 Decoding joins the pieces; it gives back every text exactly.  A literal U+2581, which the
 vocabulary uses for the space, is encoded by its bytes to keep that true.
@@ -20,28 +24,57 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from hashlib import blake2b
-from itertools import cycle
+from itertools import chain, count, repeat
 from struct import pack
 
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
 
-from duskwatch.llm.common import by_slices
+from duskwatch.llm.common import by_slices, mix64
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE_PIECE = "▁"
 SEGMENT = re.compile(r" +[^ \n]*|\n|[^ \n]+")
-VARIANTS = 2
 NONE = float("inf")
-# Segments remembered per variant and worker; a memory is emptied when full, results stay the same.
+# Nodes remembered per worker; the memory is emptied when full, results stay the same.
 REMEMBERED = 500_000
+# A draw looks this many candidates ahead; so many draws per segment are made at once.
+AHEAD, DRAWS = 64, 3
+PLACE, TURN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95)
 # Characters up to which the agenda is a plain list.
 SHORT = 48
 
 
+class Gaps:
+    """Draws of how many candidates are kept before one is skipped; AHEAD: none of so many is."""
+
+    def __init__(self, dropout: float):
+        keep, chance, bars = round((1 - dropout) * 2 ** 32), 2 ** 64, []
+        for _ in range(AHEAD):
+            chance = chance * keep >> 32
+            bars.append(min(chance, 2 ** 64 - 1))
+        self.bars = np.array(bars[::-1], np.uint64)
+
+    def of(self, keys: np.ndarray, turns: np.ndarray) -> np.ndarray:
+        return AHEAD - np.searchsorted(self.bars, mix64(keys ^ turns * TURN), "right")
+
+    def after(self, key: int, turn: int) -> Iterator[int]:
+        """A segment's draws from number ``turn`` on."""
+        keys = np.array([key], np.uint64)
+        for at in count(turn, AHEAD):
+            yield from self.of(keys, np.arange(at, at + AHEAD, dtype=np.uint64)).tolist()
+
+    def coins(self, key: int) -> Iterator[int]:
+        """A segment's draws as one number per candidate: 0 for those skipped."""
+        for gap in self.after(key, 0):
+            yield from repeat(1, gap)
+            if gap < AHEAD:
+                yield 0
+
+
 class Pieces:
     """A merge-type vocabulary: encode with dropout, and decode."""
 
@@ -60,31 +93,38 @@ class Pieces:
                 piece = piece.replace(SPACE_PIECE, " ")
                 self.score[piece], self.id_of[piece] = -model.get_score(i), i
                 self.bytes_of.append(piece.encode())
-        self.memos: dict = {}
+        self.memo: dict[str | tuple[str, bytes], tuple[int, bytes]] = {}
+        self.gaps: dict[float, Gaps] = {}
 
     def _merge_short(self, segment: str, coins: bytes, limit: int) -> list[str]:
-        """The agenda as a list of scores that is scanned, for few characters."""
+        """The agenda as a list of scores that is scanned, for few characters.
+
+        A candidate taken from the agenda uses up one coin; below the limit it is skipped.
+        Where the coins have run out, none is.
+        """
+        taken, known = -1, len(coins)
         score, parts = self.score.get, list(segment)
         scores = [score(a + b, NONE) for a, b in zip(parts, parts[1:])]
-        starts = list(range(len(parts)))
         while scores:
             best = min(scores)
             if best == NONE:
                 break
             i = scores.index(best)
-            if coins[(7 * starts[i] + starts[i + 1]) & 63] < limit:
+            taken += 1
+            if taken < known and coins[taken] < limit:
                 scores[i] = NONE
                 continue
             parts[i] += parts.pop(i + 1)
-            del starts[i + 1], scores[i]
+            del scores[i]
             if i:
                 scores[i - 1] = score(parts[i - 1] + parts[i], NONE)
             if i < len(scores):
                 scores[i] = score(parts[i] + parts[i + 1], NONE)
         return parts
 
-    def _merge_long(self, segment: str, coins: bytes, limit: int) -> list[str]:
+    def _merge_long(self, segment: str, coins: Iterable[int], limit: int) -> list[str]:
         """The agenda as a heap of (score, place, merged text)."""
+        coins = iter(coins)
         score, parts, n = self.score.get, list(segment), len(segment)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
         agenda = [(got, i, parts[i] + parts[i + 1]) for i in range(n - 1)
@@ -96,7 +136,7 @@ class Pieces:
             if not parts[i] or (j := after[i]) >= n or parts[i] + parts[j] != pair \
                     or (i, len(parts[i]), len(pair)) in skipped:
                 continue
-            if coins[(7 * i + j) & 63] < limit:
+            if next(coins, limit) < limit:
                 skipped.add((i, len(parts[i]), len(pair)))
                 continue
             parts[i], parts[j] = pair, ""
@@ -109,34 +149,62 @@ class Pieces:
                     heapq.heappush(agenda, (got, left, parts[left] + parts[after[left]]))
         return [x for x in parts if x]
 
-    def _ids(self, segment: str, variant: int, seed: int, limit: int) -> bytes:
-        coins = blake2b(segment.encode("utf-8", "surrogatepass"), salt=b"%d" % variant,
-                        key=b"%d" % seed).digest() if limit else bytes(64)
-        merge = self._merge_short if len(segment) <= SHORT else self._merge_long
+    def _ids(self, parts: list[str]) -> bytes:
         out: list[int] = []
-        for part in merge(segment, coins, limit):
+        for part in parts:
             if (got := self.id_of.get(part)) is not None:
                 out.append(got)
             else:
                 out += [self.byte_id[b] for b in part.encode("utf-8", "surrogatepass")]
         return pack(f"<{len(out)}i", *out)
 
+    def _node(self, segment: str, coins: bytes = b"") -> tuple[int, bytes]:
+        """The number of candidates taken and the ids, if only those with coin 0 are skipped."""
+        key = (segment, coins) if coins else segment
+        got = self.memo.get(key)
+        if got is None:
+            if len(self.memo) >= REMEMBERED:
+                self.memo.clear()
+            merge = self._merge_short if len(segment) <= SHORT else self._merge_long
+            parts = merge(segment, coins, 1)
+            got = len(segment) - len(parts) + coins.count(0), self._ids(parts)
+            self.memo[key] = got
+        return got
+
+    def _walk(self, segment: str, taken: int, ids: bytes, gaps: Iterable[int]) -> bytes:
+        """The ids of a segment whose candidates are skipped after each of the gaps."""
+        coins = b""
+        for gap in gaps:
+            if len(coins) + gap >= taken:
+                break
+            coins += b"\1" * gap
+            if gap < AHEAD:
+                coins += b"\0"
+                taken, ids = self._node(segment, coins)
+        return ids
+
     def encode(self, text: str, document: int | str = 0, seed: int = 0,
                dropout: float = 0.0) -> np.ndarray:
         """The ids of a text as little-endian 32-bit numbers."""
         out = bytearray()
         if not text:
             return np.frombuffer(out, "<i4")
-        limit, turns = round(dropout * 256), VARIANTS if dropout else 1
-        memos = self.memos.setdefault((seed, limit), [{} for _ in range(turns)])
-        first = xxhash.xxh3_64_intdigest(str(document), seed) % turns
-        order = [(memos[i % turns], i % turns) for i in range(first, first + turns)]
-        for segment, (memo, variant) in zip(SEGMENT.findall(" " + text), cycle(order)):
-            ids = memo.get(segment)
-            if ids is None:
-                if len(memo) >= REMEMBERED:
-                    memo.clear()
-                ids = memo[segment] = self._ids(segment, variant, seed, limit)
+        segments = SEGMENT.findall(" " + text)
+        if not dropout:
+            for segment in segments:
+                out += self._node(segment)[1]
+            return np.frombuffer(out, "<i4")
+        gaps, memo = self.gaps.get(dropout) or self.gaps.setdefault(dropout, Gaps(dropout)), self.memo
+        base = np.uint64(xxhash.xxh3_64_intdigest(str(document), seed))
+        keys = mix64(np.arange(len(segments), dtype=np.uint64) * PLACE + base)
+        draws = gaps.of(keys, np.arange(DRAWS, dtype=np.uint64)[:, None]).tolist()
+        for segment, key, first, *more in zip(segments, keys.tolist(), *draws):
+            if len(segment) > SHORT:
+                out += self._ids(self._merge_long(segment, gaps.coins(key), 1))
+                continue
+            taken, ids = memo.get(segment) or self._node(segment)
+            if first < taken:
+                ids = self._walk(segment, taken, ids, chain((first, *more), gaps.after(key, DRAWS)))
             out += ids
         return np.frombuffer(out, "<i4")
 

@@ -134,6 +134,36 @@ def test_pieces_match_library_and_decode(rows):
         assert p._merge_short(word, coins, 60) == p._merge_long(word, coins, 60)
 
 
+def test_dropout_cuts_every_occurrence_on_its_own():
+    p = bpe.Pieces(bpe.DEFAULT_MODEL)
+    cuts = Counter(p.encode("government", d, 3, 0.1).tobytes() for d in range(4000))
+    whole = p.encode("government").tobytes()
+    assert len(cuts) > 20 and cuts.most_common(1)[0][0] == whole
+    coins = (np.random.default_rng(1).random((4000, 99)) >= 0.1).astype(np.uint8)
+    want = Counter(p._ids(p._merge_short(" government", bytes(c), 1)) for c in coins)
+    assert all(abs(cuts[k] - want[k]) < 160 for k in cuts | want)
+    within = {p.encode("government " * 200, 1, 3, 0.1)[i:i + 3].tobytes() for i in range(200)}
+    assert len(within) > 10
+    gaps, text = bpe.Gaps(0.3), "government"
+    for key in range(300):             # the remembered tree, a plain run and the heap agree
+        coins = [c for c, _ in zip(gaps.coins(key), range(99))]
+        plain = p._merge_short(text, bytes(coins), 1)
+        assert plain == p._merge_long(text, coins, 1)
+        assert p._walk(text, *p._node(text), gaps.after(key, 0)) == p._ids(plain)
+
+
+def test_dropout_in_a_long_segment_does_not_repeat():
+    p, gaps = bpe.pieces(bpe.DEFAULT_MODEL), bpe.Gaps(0.1)
+    coins = np.array([c for c, _ in zip(gaps.coins(7), range(40000))])
+    assert abs(1 - coins.mean() - 0.1) < 0.01
+    for lag in (8, 64, 128):
+        assert abs(np.corrcoef(coins[:-lag], coins[lag:])[0, 1]) < 0.03
+    text = "abcdefgh" * 400
+    ids = p.encode(text, 5, 1, 0.3).tolist()
+    assert p.decode(ids) == text and ids != p.encode(text, 6, 1, 0.3).tolist()
+    assert ids == bpe.Pieces(bpe.DEFAULT_MODEL).encode(text, 5, 1, 0.3).tolist()
+
+
 def test_round_trip(docs, rows):
     got = bpe.round_trip(docs).collect()
     assert len(got) == len(rows) and all(r.lossless for r in got)
