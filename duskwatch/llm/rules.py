@@ -1,26 +1,34 @@
 """Quality rules: base rules, and robust multivariate outliers per language and source.
 
-Each text gives a vector of transformed statistics.  Per group of language and source the
-minimum-covariance-determinant estimates are found by concentration steps: from medians
-and quartiles on, mean and covariance are taken anew over the ``COVER`` share of rows
-nearest by Mahalanobis distance.  Every step is two aggregations over narrow rows (an
-approximate quantile of the distances, then moments), so a group may hold any share of
-the rows.  Distances come from a Cholesky factor written out as columns.  Rows beyond
-``cutoff`` are rejected; the distance is rescaled so that its median is that of a normal
-sample.  Many statistics are zero for most texts; variances are floored so that a small
-departure from zero is no outlier.
+Each text gives a vector of transformed statistics; shares enter by their empirical
+log-odds.  Per group of language and source the minimum-covariance-determinant estimates
+are found by concentration steps: mean and covariance are taken anew over the half of the
+rows nearest by Mahalanobis distance.  Rows with equal vectors, as exact copies have,
+count once there.  There are three starts around the medians: quartile spreads only, and
+the covariances of the rows' directions and of their squashed values.  After ``TRIES``
+steps the start with the smallest determinant goes on until that stops falling.  Every
+step is two aggregations over narrow rows (an approximate quantile of the distances, then
+moments), so a group may hold any share of the rows.  Distances come from a Cholesky
+factor written out as columns.  Rows beyond ``cutoff`` are rejected; the distance is
+rescaled so that its median over different vectors is that of a normal sample.
+
+Many shares are zero in most texts and then vary by the length only.  ``FLOORS`` add to
+each spread about half of what a first hit changes, which keeps the matrix invertible;
+each statistic alone can still pass the cutoff.
 
 Groups with fewer than ``LEAST`` rows are pooled by language, and what is still short over
 all languages; a pool below ``TOO_FEW`` rows rejects nothing.
 
 Cases.  Null text: no words, which fails the base rule, as does the empty text.  Null
 language or source is a value of its own.  Rows that fail the base rules take no part in
-the estimates.  Ties at the quantile are all taken.  Repeated rows count each.  Empty
+the estimates.  Ties at the quantile are all taken.  Repeated rows are judged alike.  Empty
 table: empty result.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from duskwatch.llm.common import SPACE_CHARS, stored, text_of, words
@@ -28,13 +36,27 @@ from duskwatch.llm.common import SPACE_CHARS, stored, text_of, words
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-COVER, STEPS = 0.75, 4
+COVER, TRIES = 0.5, 2
 LEAST, TOO_FEW = 60, 12
 VECTOR = ("word_length", "symbols", "repeated_lines", "repeated_words", "capitals", "marks")
-# Least standard deviation of each, and the median and cutoff of a squared normal distance
-# in as many dimensions (cutoff: one normal row in 10^7).
-FLOORS = (0.35, 0.12, 0.25, 0.2, 0.1, 0.1)
-MEDIAN, CUTOFF = 5.348, 43.0
+# Added standard deviation of each, and by how much a log determinant has to fall.
+FLOORS = (0.35, 0.5, 0.5, 0.5, 0.5, 0.5)
+FALL = 0.01
+# One normal row in so many is rejected.
+ONE_IN = 10 ** 7
+
+
+def chi_square(tail: float, half: int = len(VECTOR) // 2) -> float:
+    """What a chi-square number of 2 * half degrees of freedom exceeds with probability tail."""
+    low, high = 0.0, 1000.0
+    for _ in range(100):
+        x = (low + high) / 2
+        above = math.exp(-x / 2) * sum((x / 2) ** k / math.factorial(k) for k in range(half))
+        low, high = (x, high) if above > tail else (low, x)
+    return low
+
+
+MEDIAN, CUTOFF = chi_square(0.5), chi_square(1 / ONE_IN)
 
 
 def _removed(text: Column, chars: str) -> Column:
@@ -87,14 +109,16 @@ def base_rules(docs: DataFrame) -> DataFrame:
                          | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
 
 
+def _odds(hits: str, of: str, least: int = 1) -> Column:
+    """Log-odds of a share, with half of the least possible hit added on either side."""
+    return F.log((F.col(hits) + least / 2) / (F.greatest(F.col(of) - F.col(hits), F.lit(0)) + least / 2))
+
+
 def vector() -> list[Column]:
-    """The transformed statistics; shares enter by their square roots."""
-    n = F.greatest("n_words", F.lit(1))
-    return [F.col("word_chars") / n, F.sqrt(F.col("n_symbols") / n),
-            F.sqrt(F.col("n_dup_lines") / F.greatest("n_lines", F.lit(1))),
-            F.sqrt(F.col("n_repeat_words") / n),
-            F.sqrt(F.col("n_upper") / F.greatest("word_chars", F.lit(1))),
-            F.sqrt(F.col("n_marks") / n)]
+    """The transformed statistics."""
+    return [F.col("word_chars") / F.greatest("n_words", F.lit(1)), _odds("n_symbols", "word_chars"),
+            _odds("n_dup_lines", "n_lines"), _odds("n_repeat_words", "n_words", WINDOW + 1),
+            _odds("n_upper", "word_chars"), _odds("n_marks", "word_chars")]
 
 
 def _x(i: int) -> str:
@@ -113,7 +137,8 @@ def _factor(moments: DataFrame) -> DataFrame:
                 s = s - F.col(f"l{i}_{k}") * F.col(f"l{j}_{k}")
             moments = moments.withColumn(
                 f"l{i}_{j}", F.sqrt(F.greatest(s, F.lit(1e-9))) if i == j else s / F.col(f"l{j}_{j}"))
-    return moments.select("grp", *[f"m{i}" for i in D],
+    spread = sum((2 * F.log(f"l{i}_{i}") for i in D), F.lit(0.0))
+    return moments.select("grp", "start", spread.alias("det"), *[f"m{i}" for i in D],
                           *[f"l{i}_{j}" for i in D for j in range(i + 1)])
 
 
@@ -126,26 +151,60 @@ def _distances(rows: DataFrame, state: DataFrame) -> DataFrame:
             s = s - F.col(f"l{i}_{k}") * F.col(f"z{k}")
         out = out.withColumn(f"z{i}", s / F.col(f"l{i}_{i}"))
     total = sum((F.col(f"z{i}") * F.col(f"z{i}") for i in D), F.lit(0.0))
-    return out.select(*rows.columns, total.alias("d2"))
+    return out.select(*rows.columns, "start", total.alias("d2"))
 
 
-def estimates(rows: DataFrame) -> DataFrame:
-    """Per group: centre and factor of the concentrated covariance.  rows: grp, x0, x1, ..."""
+def _starts(rows: DataFrame) -> DataFrame:
+    """Per group three centres and factors to begin with."""
     quart = rows.groupBy("grp").agg(*[F.percentile_approx(_x(i), [0.25, 0.5, 0.75]).alias(f"q{i}")
                                       for i in D])
-    spread = lambda i: F.pow((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, 2)
-    state = quart.select("grp", *[F.col(f"q{i}")[1].alias(f"m{i}") for i in D],
-                         *[(spread(i) if i == j else F.lit(0.0)).alias(f"c{i}_{j}")
-                           for i in D for j in range(i + 1)])
-    state = stored(_factor(state), "mcd")
-    for _ in range(STEPS):
-        far = stored(_distances(rows, state), "distances")
-        near = far.groupBy("grp").agg(F.percentile_approx("d2", COVER, 1000).alias("cut"))
-        state = (far.join(near, "grp").where("d2 <= cut").groupBy("grp")
-                 .agg(*[F.avg(_x(i)).alias(f"m{i}") for i in D],
-                      *[F.covar_pop(_x(i), _x(j)).alias(f"c{i}_{j}") for i in D for j in range(i + 1)]))
-        state = stored(_factor(state), "mcd")
-    return state
+    quart = quart.select("grp", *[F.col(f"q{i}")[1].alias(f"m{i}") for i in D],
+                         *[((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349).alias(f"s{i}") for i in D])
+    quart = stored(quart, "quartiles")
+    at = rows.join(quart, "grp").select("grp", *[
+        ((F.col(_x(i)) - F.col(f"m{i}")) / F.sqrt(F.col(f"s{i}") ** 2 + FLOORS[i] ** 2)).alias(f"z{i}")
+        for i in D])
+    square = F.greatest(sum((F.col(f"z{i}") ** 2 for i in D), F.lit(0.0)), F.lit(1e-9))
+    pairs = [(i, j) for i in D for j in range(i + 1)]
+    at = at.select("*", square.alias("square")).groupBy("grp").agg(
+        *[(len(D) * F.avg(F.col(f"z{i}") * F.col(f"z{j}") / F.col("square"))).alias(f"u{i}_{j}")
+          for i, j in pairs],
+        *[F.avg(F.tanh(f"z{i}") * F.tanh(f"z{j}")).alias(f"t{i}_{j}") for i, j in pairs])
+    scaled = lambda k, i, j: F.col(f"s{i}") * F.col(f"s{j}") * (
+        F.lit(float(i == j)) if k == "q" else F.col(f"{k}{i}_{j}"))
+    both = quart.join(at, "grp")
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("start"), *[
+        scaled(k, i, j).alias(f"c{i}_{j}") for i, j in pairs]) for k in "qut"]))
+    moments = both.select("grp", *[f"m{i}" for i in D], each.alias("of"))
+    return stored(_factor(moments.select("grp", *[f"m{i}" for i in D], "of.*")), "mcd")
+
+
+def _step(rows: DataFrame, state: DataFrame) -> DataFrame:
+    """Centres and factors over the rows nearest by those given."""
+    far = stored(_distances(rows, state), "distances")
+    near = far.groupBy("grp", "start").agg(F.percentile_approx("d2", COVER, 1000).alias("cut"))
+    return stored(_factor(far.join(near, ["grp", "start"]).where("d2 <= cut").groupBy("grp", "start").agg(
+        *[F.avg(_x(i)).alias(f"m{i}") for i in D],
+        *[F.covar_pop(_x(i), _x(j)).alias(f"c{i}_{j}") for i in D for j in range(i + 1)])), "mcd")
+
+
+def estimates(rows: DataFrame) -> DataFrame:
+    """Per group: centre and factor of the least covariance.  rows: grp, x0, x1, ..."""
+    rows = stored(rows.distinct(), "vectors")
+    state = _starts(rows)
+    for _ in range(TRIES):
+        state = _step(rows, state)
+    best = lambda df: (df.groupBy("grp").agg(F.min_by(F.struct(*state.columns), "det").alias("of"))
+                       .select("of.*"))
+    state = stored(best(state), "mcd")
+    going = state
+    while True:      # only groups whose determinant fell go on; it is bounded by the floors
+        new = _step(rows.join(going.select("grp"), "grp", "left_semi"), going)
+        last = going.select("grp", F.col("det").alias("last"))
+        going = stored(new.join(last, "grp").where(F.col("det") < F.col("last") - FALL).drop("last"), "mcd")
+        if not going.head(1):
+            return state
+        state = stored(best(state.union(going)), "mcd")
 
 
 def quality_rules(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
@@ -169,10 +228,11 @@ def quality_rules(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     good = placed.where(~F.col("base_failed"))
     state = estimates(good.select("grp", *[_x(i) for i in D]))
     far = stored(_distances(placed, state), "distances")
-    scale = far.where(~F.col("base_failed")).groupBy("grp").agg(
-        F.greatest(F.percentile_approx("d2", 0.5) / MEDIAN, F.lit(1.0)).alias("scale"),
-        F.count("*").alias("rows"))
-    judged = far.join(scale, "grp", "left")
+    tested = far.where(~F.col("base_failed"))
+    scale = tested.select("grp", *[_x(i) for i in D], "d2").distinct().groupBy("grp").agg(
+        F.greatest(F.percentile_approx("d2", 0.5) / MEDIAN, F.lit(1.0)).alias("scale"))
+    counts = tested.groupBy("grp").agg(F.count("*").alias("rows"))
+    judged = far.join(scale.join(counts, "grp"), "grp", "left")
     outlier = (F.col("rows") >= TOO_FEW) & (F.col("d2") > cutoff * F.col("scale"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                          "n_repeat_words", "base_failed",

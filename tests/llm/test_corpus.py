@@ -101,6 +101,42 @@ def test_outliers_leave_clean_documents(spark, sf_small):
     assert marked.where("quality = 1 and not kept").count() == 0
 
 
+def _plain(rng, n=200):
+    """Lines of ten words each, a few of them with a capital or a mark."""
+    w = ["".join(rng.choice(list("abcdefghijklmnop"), rng.integers(2, 9))) for _ in range(n)]
+    w = [x.capitalize() if rng.random() < 0.1 else x + "!" if rng.random() < 0.02 else x for x in w]
+    return [" ".join(w[i:i + 10]) for i in range(0, n, 10)]
+
+
+def test_each_statistic_rejects(spark):
+    rng = np.random.default_rng(8)
+    texts = [_plain(rng, int(rng.integers(15, 26)) * 10) for _ in range(300)]
+    n = len(texts)
+    per_word = lambda f: [" ".join(map(f, x.split(" "))) for x in _plain(rng)]
+    repeated = _plain(rng, 1000)
+    texts += [per_word(lambda w: w * 3), per_word(lambda w: w + "#" if rng.random() < 0.5 else w),
+              [y for x in _plain(rng) for y in (x, "ok", "so")],
+              [*repeated, " ".join(repeated[:14])],
+              per_word(str.upper), per_word(lambda w: w + "?!")]
+    docs = spark.createDataFrame([(i, "\n".join(t), "en", "s") for i, t in enumerate(texts)],
+                                 "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in rules.quality_rules(docs).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert [k for k in range(n, n + 6) if got[k].kept] == []
+    assert sum(not got[k].kept for k in range(n)) <= 3
+
+
+def test_a_third_of_copies_is_no_centre(spark):
+    rng = np.random.default_rng(9)
+    junk = "\n".join(x.upper() + " ###" for x in _plain(rng))
+    texts = ["\n".join(_plain(rng)) for _ in range(200)] + [junk] * 100
+    docs = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)],
+                                 "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in rules.quality_rules(docs).collect()}
+    assert not any(got[k].kept for k in range(200, 300))
+    assert sum(not got[k].kept for k in range(200)) <= 2
+
+
 def test_quality_held_out(spark):
     sf = "/root/testdata/sf0.01"
     got = (catalog.op4_quality_classifier(spark, sf).where("held_out")
