@@ -6,8 +6,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from duskwatch.llm import bpe, imatch, jaccard, langid, linededup, mixing, quality, rules, substrings, warc
-from duskwatch.llm.common import stored, table
+from duskwatch.llm import (bpe, imatch, jaccard, langid, linededup, mixing, packing, periodic, quality,
+                           ranked, rules, substrings, warc)
+from duskwatch.llm.common import let, stored, table, text_of, words
 from duskwatch.session import shared_dir
 
 
@@ -66,11 +67,50 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One document in ten is first made to repeat from a place on, as the contract says."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    h = F.crc32(F.col("doc_id").cast("string"))
+    own = words(text_of())
+    n, g = F.size(own).cast("long"), F.floor(h / 10)
+    a = g % n
+    p = 1 + F.floor((n - a) / (3 + g % 8))
+    repeated = let(F.struct(own.alias("w"), a.alias("a"), p.alias("p")), lambda s: F.array_join(F.transform(
+        s.w, lambda word, i: F.when(i < s.a, word).otherwise(
+            F.get(s.w, (s.a + (i - s.a) % s.p).cast("int")))), " "))
+    texts = docs.select("doc_id", F.when((h % 10 == 0) & (n > 0), repeated)
+                        .otherwise(F.col("text")).alias("text"))
+    # the longest run, the first of equal ones, then the shortest period
+    best = F.array_max(F.transform("runs", lambda r: F.struct(
+        r.length.alias("length"), (-r.start).alias("start"), (-r.period).alias("period"))))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period)), "\n")
+    found = periodic.periodic_runs(texts).withColumn("best", best)
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"), (-F.col("best.period")).alias("period"),
+        F.floor(1000 * F.col("best.length") / -F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise(""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.token_pieces(table(spark, sf_dir, "documents"))
+    packed = packing.placed(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.top_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_fingerprint, op2_source_mix, op3_quality_rules, op4_quality_classifier, op5_sentencepiece,
-    op6_language_id, op7_line_dedup, op8_substring_dedup, op9_ngram_jaccard, op10_warc)}
+    op6_language_id, op7_line_dedup, op8_substring_dedup, op9_ngram_jaccard, op10_warc,
+    op11_periodic_runs, op12_best_fit_packing, op13_ranked_search)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+# Fixed value: terms are runs of ASCII letters, digits and all characters beyond ASCII.
+_TERM = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
 
 ORACLE = {
     "op7_line_dedup": f"""
@@ -103,4 +143,25 @@ ORACLE = {
             CASE WHEN page_id = largest THEN 'response' ELSE 'revisit' END AS record_type,
             CASE WHEN page_id <> largest THEN largest END AS refers_to
         FROM r""",
+    "op13_ranked_search": f"""
+        WITH terms AS (
+            SELECT doc_id, {_LOWER.format("unnest(regexp_extract_all(text, " + _TERM + "))")} AS term FROM documents),
+        asked AS (
+            SELECT DISTINCT item_id, {_LOWER.format("unnest(regexp_extract_all(text, " + _TERM + "))")} AS term
+            FROM benchmark),
+        lengths AS (SELECT doc_id, count(*) AS n FROM terms GROUP BY doc_id),
+        size AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM lengths),
+        held AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY doc_id, term),
+        weights AS (
+            SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM held, size GROUP BY term, docs),
+        scored AS (
+            SELECT a.item_id, h.doc_id, CAST(sum(w * ((1000000000 * tf)
+                // (1000 * tf + 8 * (10 + (90 * n * docs) // total)))) AS BIGINT) AS score
+            FROM asked a JOIN held h USING (term) JOIN weights USING (term) JOIN lengths USING (doc_id), size
+            GROUP BY a.item_id, h.doc_id),
+        numbered AS (
+            SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER)
+                AS rank, doc_id, score FROM scored WHERE score > 0)
+        SELECT * FROM numbered WHERE rank <= 10""",
 }
