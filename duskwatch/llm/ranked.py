@@ -6,9 +6,11 @@ is ever looked up by document.  What is not read yet of a term is at most its fr
 the largest unread impact.  So a document's score lies between ``low``, the sum of what
 was read of it, and ``low`` plus the frontiers of the item's terms not yet read for it.
 
-* All lists of all terms are one table, range-partitioned and sorted by impact.  A round
-  reads one slice of it, for all items at once.  Slices end at the borders of impact
-  levels (LEVELS per factor of two) and grow by GROWTH, so there are logarithmically many.
+* All lists of all terms are one table, range-partitioned and sorted by level, then impact.
+  Levels follow the impact within a term (LEVELS per factor of two); between terms those of
+  rarer ones come first, because their lists are short and lower the bounds most.  A round
+  reads one slice of levels, for all items at once.  Slices grow by GROWTH, so there are
+  logarithmically many.
 * The table's histogram (term, level: count, largest impact) gives every frontier after
   every round beforehand.  A read entry therefore carries the frontiers that it will
   *not* add in later rounds, and a document's state stays a row of sums, however many
@@ -40,7 +42,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from duskwatch.llm.common import NO_ID, SLICE, id_key, stored
 
-LEVELS, GROWTH = 4, 4
+LEVELS, GROWTH = 4, 3
+# How much earlier the lists of rarer terms are read: a level is of impact * weight ** RARER.
+RARER = 2
+# Frontiers are rounded up to whole units, which keeps the sums that rows carry small.
+UNIT = 1 << 20
 # Entries per item in the first slice.
 FIRST = 1000
 # Distinct terms up to which tasks get the items' terms as a set; beyond it a join selects them.
@@ -91,9 +97,10 @@ def impacts(found: DataFrame, weights: DataFrame, n_docs: int, n_terms: int) ->
                        F.explode(F.arrays_zip("terms", "counts")).alias("e"))
                .select("key", "m", F.col("e.terms").alias("term"), F.col("e.counts").cast("long").alias("tf")))
     return (entries.join(weights, "term")
-            .select("term", "key", F.expr("w * ((1000000000L * tf) div (1000L * tf + 8L * m))").alias("impact"))
+            .select("term", "key", "w", F.expr("w * ((1000000000L * tf) div (1000L * tf + 8L * m))").alias("impact"))
             .where("impact > 0")
-            .withColumn("level", F.floor(F.log2("impact") * LEVELS).cast("int")))
+            .select("term", "key", "impact",
+                    F.floor((F.log2("impact") + RARER * F.log2("w")) * LEVELS).cast("int").alias("level")))
 
 
 def slices(by_level: list[tuple[int, int]], first: int) -> list[int]:
@@ -108,8 +115,9 @@ def slices(by_level: list[tuple[int, int]], first: int) -> list[int]:
 
 
 def _largest(rounds: list[int]) -> list[Column]:
-    """Per round the largest impact that is still unread after it."""
-    return [F.coalesce(F.max(F.when(F.col("level") < low, F.col("top"))), F.lit(0)).alias(f"f{k}")
+    """Per round the largest impact that is still unread after it, in units."""
+    units = F.ceil(F.col("top") / UNIT)
+    return [F.coalesce(F.max(F.when(F.col("level") < low, units)), F.lit(0)).alias(f"f{k}")
             for k, low in enumerate(rounds)]
 
 
@@ -130,8 +138,8 @@ def top_documents(docs: DataFrame, items: DataFrame, k: int = 10) -> DataFrame:
     weights = stored(df.select("term", F.floor(1000 * F.log((2 * F.lit(n_docs) + 2) / (2 * F.col("df") + 1)))
                                .alias("w")), "weights")
     postings = stored(impacts(found, weights, n_docs, n_terms)
-                      .repartitionByRange(F.col("impact").desc(), "key")
-                      .sortWithinPartitions(F.col("impact").desc(), "key"), "postings")
+                      .repartitionByRange(F.col("level").desc(), F.col("impact").desc(), "key")
+                      .sortWithinPartitions(F.col("level").desc(), F.col("impact").desc()), "postings")
     heads = stored(postings.groupBy("term", "level")
                    .agg(F.count("*").alias("n"), F.max("impact").alias("top")), "levels")
     per_level = (heads.join(asked.groupBy("term").agg(F.count("*").alias("items")), "term")
@@ -173,12 +181,11 @@ def _read(part: DataFrame, state: DataFrame | None, entries: DataFrame, bounds:
     bars = (state.select("item", "low").withColumn("r", F.row_number().over(best)).where(F.col("r") <= k)
             .groupBy("item").agg(F.count("*").alias("n"), F.min("low").alias("bar"))
             .select("item", F.when(F.col("n") == k, F.col("bar")).otherwise(0).alias("bar")))
-    bound = F.col(f"bound{i}")
+    bound = F.col(f"bound{i}")                # what an unread document can reach, in units
     judged = bounds.join(bars, "item", "left").withColumn("bar", F.coalesce("bar", F.lit(0)))
-    judged = stored(judged.withColumn("closed", (bound == 0) | (bound < F.col("bar"))), f"bars{i}")
+    judged = stored(judged.withColumn("closed", (bound == 0) | (bound * UNIT < F.col("bar"))), f"bars{i}")
     alive = (state.join(judged.select("item", "bar", bound), "item")
-             .where(F.col("low") + bound - F.col(ahead[0]) >= F.col("bar")))
-    alive = stored(alive, f"alive{i}")
+             .where(F.col("low") + (bound - F.col(ahead[0])) * UNIT >= F.col("bar")))
     loose = alive.where(bound > F.col(ahead[0])).select("item").distinct().withColumn("loose", F.lit(True))
     bounds = (judged.drop("bar").join(loose, "item", "left")
               .withColumn("finished", F.col("closed") & F.col("loose").isNull()).drop("loose"))
