@@ -31,9 +31,9 @@ table: empty result.  Extra columns are not carried.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +45,8 @@ TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
 CAPACITY, END = 4096, 1
 # Parts of a text remembered per worker; emptied when full, results stay the same.
 REMEMBERED = 600_000
-# Letters and a few marks: always two tokens or more, the letters' case does not matter.
+# Letters, then marks: the vocabulary parts them there, and the letters' case does not matter.
+MARKS = ("", ".", ",", ";", ":", "!", "?", "...", "!!", "!!!", "??", "???")
 PLAIN = re.compile(r"([A-Za-z]+)([.,;:!?]*)")
 PIECES = "task int, number long, doc_id long, piece int, start long, length long, ids binary"
 
@@ -56,19 +57,30 @@ class Words:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.parts: dict[str, bytes] = {}
         self.stems: dict[str, bytes] = {}
+        self.marks = {m: array("I", self.tokenizer.encode(m, add_special_tokens=False).ids).tobytes()
+                      for m in MARKS}
+
+    def _plain(self, stem: str) -> bytes:
+        """ASCII letters reach the model as one word as they are, so it is asked directly."""
+        got = self.stems.get(stem)
+        if got is None:
+            got = self.stems[stem] = array("I", [t.id for t in self.model.tokenize(stem)]).tobytes()
+        return got
 
     def _learn(self, new: list[str]) -> None:
-        split = [(m[1].lower(), m[2]) if (m := PLAIN.fullmatch(part)) else (part, "") for part in new]
         if len(self.stems) >= REMEMBERED:
             self.stems.clear()
-        stems = self.stems
-        fresh = [s for s in set(chain.from_iterable(split)) if s not in stems]
-        for stem, got in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)):
-            stems[stem] = np.array(got.ids, "<u4").tobytes()
-        for part, (stem, marks) in zip(new, split):
-            self.parts[part] = stems[stem] + stems[marks]
+        parts, marks, other = self.parts, self.marks, []
+        for part in new:
+            if (m := PLAIN.fullmatch(part)) and (tail := marks.get(m[2])) is not None:
+                parts[part] = self._plain(m[1].lower()) + tail
+            else:
+                other.append(part)
+        for part, got in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
+            parts[part] = array("I", got.ids).tobytes()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         cut = [(t or "").replace("\n", " ").split(" ") for t in texts]
