@@ -130,7 +130,7 @@ def build_gold(scored: DataFrame, replies: DataFrame | None = None, on_error: st
     assessed = apply_replies(scored, replies, on_error)
     silver = [f.name for f in schemas.layer_schema("silver").fields]
     failed = assessed.where(F.col("error").isNotNull()).select(
-        "error", json_text(F.struct(*silver)).alias("value"))
+        "error", json_text(F.struct(*silver)).alias("value"), "event_time")
     dead = dead_letters(failed, stage="enrich", topic=topic, as_of=as_of)
     return nest_gold(assessed.where(F.col("error").isNull())), dead
 

@@ -89,6 +89,7 @@ def enrich_findings(findings: DataFrame, gold: DataFrame, bucket: str = BUCKET,
                     with_ids: bool = True) -> DataFrame:
     """Findings with their ``enrichment_summary`` (NULL without a match)."""
     summary = enrichment_summary(findings, gold, bucket, with_ids)
+    findings = findings.drop("enrichment_summary")
     return (findings.join(summary, findings["id"] == summary["finding_id"], "left")
             .drop("finding_id"))
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from duskwatch import schemas
 from duskwatch.functions.plan import settled
+from duskwatch.functions.text import JSON_TIME
 from duskwatch.operators.deadletter import dead_letters
 from duskwatch.operators.interval import aggregation_type
 
@@ -278,11 +279,30 @@ def parse_silver(df: DataFrame, value: str = "value", topic: str = "topic",
     return good, dead
 
 
+def parse_gold(df: DataFrame, value: str = "value", topic: str = "topic",
+               as_of=None) -> tuple[DataFrame, DataFrame]:
+    """Messages of the gold topic -> (nested gold records, dead letters of stage ``gold-parse``).
+
+    The engine writes these itself, so they are read by schema; a message that does not
+    hold a record with an id and an event time is dead.
+    """
+    schema = schemas.layer_schema("gold")
+    parsed = df.withColumn("record", F.from_json(value, schema, {"timestampFormat": JSON_TIME}))
+    error = (F.when(F.col("record.silver.id").isNull(), F.lit("silver.id: missing"))
+             .when(F.col("record.silver.event_time").isNull(), F.lit("silver.event_time: expected timestamp"))
+             .when(F.col("record.threat_score").isNull(), F.lit("threat_score: expected integer")))
+    parsed = settled(parsed.withColumn("error", error), "record", "error")
+    dead = dead_letters(parsed.where(F.col("error").isNotNull()), stage="gold-parse",
+                        message=value, topic=topic, as_of=as_of)
+    return parsed.where(F.col("error").isNull()).select("record.*"), dead
+
+
 def parse_findings(df: DataFrame, value: str = "value", topic: str = "topic",
-                   as_of=None) -> tuple[DataFrame, DataFrame]:
+                   as_of=None, received: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Messages of the finding topics -> (aggregation records, dead letters).
 
-    The kind of finding follows from the topic a message came from.
+    The kind of finding follows from the topic a message came from.  A finding without a
+    readable time gets its message's time where ``received`` names it.
     """
     parsed = decode_records(df, FINDING_FIELDS, value)
     good, kind = parsed.where(F.col("error").isNull()), aggregation_type(F.col(topic))
@@ -296,7 +316,8 @@ def parse_findings(df: DataFrame, value: str = "value", topic: str = "topic",
         elif name == "enrichment_summary":
             columns.append(F.lit(None).cast(field.dataType).alias(name))
         elif field.dataType.typeName() == "timestamp":
-            columns.append(F.try_to_timestamp(source).alias(name))
+            at = F.try_to_timestamp(source)
+            columns.append((F.coalesce(at, F.col(received)) if received and name == "event_time" else at).alias(name))
         elif field.dataType.typeName() == "struct":
             columns.append(source.cast(field.dataType).alias(name))
         else:

@@ -59,14 +59,28 @@ def split_by_time(rows: DataFrame, layer: str, topic: str,
     return good, dead_letters(bad, stage="archive", topic=topic, as_of=as_of)
 
 
+def write_batch(rows: DataFrame, path: str, stream: str, batch: int, fmt: str = "json",
+                max_records: int | None = None) -> None:
+    """Write a stream's batch to a folder of its own and list it as complete.
+
+    Run again, the batch replaces what it wrote; ``sources.lake.read_archive`` skips unlisted
+    folders.  The list's own folder is hidden from plain readers of the archive.
+    """
+    folder = f"stream={stream}/batch={batch}"
+    write_lake(rows, f"{path}/{folder}", fmt, "overwrite", max_records, partitionOverwriteMode="static")
+    listed = rows.sparkSession.range(1).select(F.current_timestamp().alias("completed_at"))
+    (listed.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .parquet(f"{path}/_batches/{folder}"))
+
+
 def write_lake(rows: DataFrame, path: str, fmt: str = "json", mode: str = "append",
-               max_records: int | None = None) -> None:
+               max_records: int | None = None, **options: str) -> None:
     """Write rows that carry the partition columns.
 
     The rebalance hint gathers each hour into few files and still splits an hour
     that is too large for one task.
     """
-    writer = rows.hint("rebalance", *[F.col(h) for h in HOURS]).write.mode(mode).format(fmt)
+    writer = rows.hint("rebalance", *[F.col(h) for h in HOURS]).write.mode(mode).format(fmt).options(**options)
     if fmt == "json":
         writer = writer.option("timestampFormat", JSON_TIME)
     if max_records:

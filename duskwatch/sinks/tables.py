@@ -121,17 +121,21 @@ def expired_dates(spark: SparkSession, path: str, as_of, days: int) -> list[str]
     return [str(r[0]) for r in dates.collect()]
 
 
-def insert_dead_letters(dead: DataFrame, path: str) -> None:
+def insert_dead_letters(dead: DataFrame, path: str, writer: str, timed: bool = True) -> None:
     """Append dead letters by a hash of what failed, where and why; repeats add nothing.
 
-    Folders follow the hash, so a batch looks its letters up by folder and hash,
-    whatever the day it is delivered on, and streams may share one table.
+    Each writing stream has a folder of its own, so that concurrent ones do not share a
+    commit folder; reading the path gives all of them.  Within it folders follow the date
+    of ``timestamp``.  If that is the message's own time (``timed``), a letter belongs to its
+    date, and a replay looks it up in the dates of its batch only; otherwise the writer's
+    whole history is searched.  Equal messages are one letter, so counts are of distinct
+    letters, not of deliveries.
     """
-    spark = dead.sparkSession
+    spark, own = dead.sparkSession, f"{path}/writer={writer}"
     what = F.to_json(F.struct("stage", "topic", "error", "original_message"))
-    rows = (dead.withColumn("id", F.sha2(what, 256))
-            .withColumn("id_prefix", F.substring("id", 1, 2)).dropDuplicates(["id"]))
-    target = existing(spark, path)
+    key = ["id", DATE] if timed else ["id"]
+    rows = _dated(dead.withColumn("id", F.sha2(what, 256)), "timestamp").dropDuplicates(key)
+    target = existing(spark, own)
     if target is not None:
-        rows = rows.join(target.select("id_prefix", "id"), ["id_prefix", "id"], "left_anti")
-    rows.write.mode("append").partitionBy("id_prefix").parquet(path)
+        rows = rows.join((_same_dates(target, rows) if timed else target).select(*key), key, "left_anti")
+    rows.hint("rebalance", F.col(DATE)).write.mode("append").partitionBy(DATE).parquet(own)

@@ -33,15 +33,31 @@ def hour_range(start: datetime | None, end: datetime | None) -> Column:
 
 
 def read_lake(spark: SparkSession, path: str, layer: str | None = None, fmt: str = "json",
-              start: datetime | None = None, end: datetime | None = None) -> DataFrame:
+              start: datetime | None = None, end: datetime | None = None,
+              outer: str | None = None) -> DataFrame:
     """An archived layer, optionally only the hours of a time range.
 
+    ``outer`` declares partition columns above the year, if there are any.
+
     JSON needs a declared schema: inferring one would read the whole archive.
     """
     reader = spark.read
     if layer is not None:
         fields = ", ".join(f"{f.name} {f.dataType.simpleString()}"
                            for f in schemas.layer_schema(layer).fields)
-        reader = reader.schema(f"{fields}, {PARTITIONS}")
+        reader = reader.schema(", ".join([fields, *([outer] if outer else []), PARTITIONS]))
     rows = reader.format(fmt).load(path)
     return rows if start is None and end is None else rows.where(hour_range(start, end))
+
+
+def read_archive(spark: SparkSession, path: str, layer: str | None = None, fmt: str = "json",
+                 start: datetime | None = None, end: datetime | None = None) -> DataFrame:
+    """The complete batches of a streamed archive (``sinks.lake.write_batch``).
+
+    The list of batches is joined on partition columns, so the folders of a batch that was
+    never finished are pruned like those outside the time range.
+    """
+    keys = ["stream", "batch"]
+    listed = spark.read.schema("completed_at timestamp, stream string, batch bigint").parquet(f"{path}/_batches")
+    rows = read_lake(spark, path, layer, fmt, start, end, "stream string, batch bigint")
+    return rows.join(listed.select(*keys), keys, "left_semi")

@@ -34,6 +34,12 @@ def velocity_stream(silver: DataFrame, window: str = velocity.WINDOW,
     return velocity.velocity_windows(silver, window, threshold)
 
 
+def velocity_findings_stream(silver: DataFrame, window: str = velocity.WINDOW,
+                             threshold: int = velocity.THRESHOLD) -> DataFrame:
+    """Aggregation records of a watermarked stream, the same as a batch gives."""
+    return velocity.rate_findings(velocity.velocity_windows(silver, window, threshold, with_record=True))
+
+
 CHAIN_STATE = "t bigint, id string, role string, record string"
 CHAIN_OUTPUT = """
     ip string, scan_id string, block_id string, success_id string, event_time timestamp,

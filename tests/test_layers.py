@@ -191,5 +191,5 @@ def test_dead_letters_of_two_streams_and_a_replay(spark, tmp_path):
         dead = spark.createDataFrame([("m", "e", "parse", dt.datetime(2024, 1, day), topic)],
                                      "original_message string, error string, stage string, "
                                      "timestamp timestamp, topic string")
-        tables.insert_dead_letters(dead, path)
+        tables.insert_dead_letters(dead, path, "clean", timed=False)
     assert sorted(r.topic for r in spark.read.parquet(path).collect()) == ["a", "b"]
