@@ -10,7 +10,9 @@ The result is one bitmap per document that loses lines, not text.
 
 Cases.  Null or empty text: one empty line, never dropped.  A null doc_id counts as one
 document, smaller than all others.  Rows with one doc_id count as one document and are
-each cut by their own text's bitmap.  Further columns pass through.
+each cut by their own text's bitmap.  Further columns pass through; those named like a
+result column give way to it (``unique_lines`` keeps all columns).  Very long texts are
+split whole, in their row.  Empty table: empty result.
 """
 
 from __future__ import annotations
@@ -52,7 +54,7 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Dat
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """The rows of docs with n_lines, n_dropped and kept_text."""
+    """Per row of docs: row (all its columns), n_lines, n_dropped and kept_text."""
     text = text_of()
     keyed = docs.select(F.struct("*").alias("row"), id_key().alias("id"),
                         F.xxhash64(text).alias("text_hash"))
@@ -68,11 +70,21 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
         F.element_at("mask", F.floor(i / BITS).cast("int") + 1), i % BITS) == 0)
     bits = F.aggregate("mask", F.lit(0), lambda a, m: a + F.bit_count(m))
     return out.select(
-        "row.*", F.size("lines").cast("long").alias("n_lines"),
+        "row", F.size("lines").cast("long").alias("n_lines"),
         F.coalesce(bits, F.lit(0)).cast("long").alias("n_dropped"),
         F.when(F.col("mask").isNull(), F.coalesce(F.col("row.text"), F.lit("")))
         .otherwise(F.array_join(kept, "\n")).alias("kept_text"))
 
 
 def line_dedup(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
-    return apply_bitmaps(docs, keep_bitmaps(docs, min_chars, min_docs))
+    """The rows of docs with n_lines, n_dropped and kept_text."""
+    added = ("n_lines", "n_dropped", "kept_text")
+    return apply_bitmaps(docs, keep_bitmaps(docs, min_chars, min_docs)).select(
+        *[F.col("row")[c].alias(c) for c in docs.columns if c not in added], *added)
+
+
+def unique_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
+    """The rows of docs, all columns as they were, with the text cut where lines were dropped."""
+    cut = apply_bitmaps(docs, keep_bitmaps(docs, min_chars, min_docs))
+    text = F.when(F.col("n_dropped") > 0, F.col("kept_text")).otherwise(F.col("row.text"))
+    return cut.select(*[text.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])

@@ -186,9 +186,9 @@ def mix_sizes(docs: DataFrame, **how) -> DataFrame:
                     F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
 
 
-def _cut(rows: dict) -> dict:
+def _cut(rows: dict, name: str) -> dict:
     out = []
-    for text, parts in zip(rows["text"], rows["parts"]):
+    for text, parts in zip(rows["text"], rows[name]):
         spans, runs = [m.span() for m in WORD.finditer(text or "")], []
         for part in parts:
             turn, start, end = part["round"], part["start"], part["start"] + part["length"]
@@ -222,5 +222,8 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     texts = (keyed(docs.select(F.struct("*").alias("row"), "doc_id", "source",
                                F.xxhash64(text_of()).alias("text_hash")))
              .select("row", *key).dropDuplicates(key))
-    kept = texts.join(parts, key).select("row.*", "parts")
-    return by_slices(kept, _cut, docs.schema)
+    name = "parts"
+    while name in docs.columns:        # beside columns of any name
+        name += "_"
+    kept = texts.join(parts, key).select("row.*", F.col("parts").alias(name))
+    return by_slices(kept, lambda rows: _cut(rows, name), docs.schema)

@@ -107,9 +107,11 @@ def with_revisits(pages: DataFrame, min_bytes: int = 1000) -> DataFrame:
     """Pages with digest and refers_to: the largest page_id with the payload, null for responses."""
     html = F.coalesce("html", F.lit(""))
     keyed = pages.select("page_id", "url", html.alias("html"), F.sha1(html).alias("digest"))
-    largest = (keyed.where(F.octet_length("html") >= min_bytes).groupBy("digest")
-               .agg(F.max("page_id").alias("largest"), F.count("*").alias("n")).where("n > 1")
-               .select("digest", "largest"))
+    # Stored first: its size is known then, so Spark ships a short list of repeated payloads
+    # to the pages, and shuffles the pages by digest only if the list is long.
+    largest = stored(keyed.where(F.octet_length("html") >= min_bytes).groupBy("digest")
+                     .agg(F.max("page_id").alias("largest"), F.count("*").alias("n")).where("n > 1")
+                     .select("digest", "largest"), "repeated")
     return (keyed.join(largest, "digest", "left")
             .withColumn("refers_to", F.when(~F.col("page_id").eqNullSafe(F.col("largest")),
                                             F.col("largest"))).drop("largest"))
@@ -220,33 +222,54 @@ def members(file, size: int) -> dict[str, tuple[int, int, int]]:
     return out
 
 
+def _index_entries(file, found: dict) -> dict[str, list[tuple[int, int]]]:
+    """Per data member the (offset, length) of its records, in the order of the indexes."""
+    data = [n for n in found if n.startswith("archive/")]
+    places: dict[str, list[tuple[int, int]]] = {}
+    for name, (method, place, n) in found.items():
+        if not name.startswith("indexes/"):
+            continue
+        raw = _range(file, place, n)
+        if method == zipfile.ZIP_DEFLATED:
+            raw = zlib.decompress(raw, -15)
+        elif method != zipfile.ZIP_STORED:
+            raise ValueError(f"{name} is compressed by an unknown method {method}")
+        for line in raw.decode().splitlines():
+            entry = json.loads(line[line.index("{"):])
+            member = f"archive/{entry['filename']}" if entry.get("filename") else data[0] if len(data) == 1 else None
+            if member not in found:
+                raise ValueError(f"{name} has an entry for no data member: {line}")
+            places.setdefault(member, []).append((int(entry["offset"]), int(entry["length"])))
+    return places
+
+
 def record_ranges(file, size: int) -> Iterator[tuple[int, list[int] | None, int]]:
     """Runs of records: (place in the file, the records' lengths or None, bytes).
 
-    Without an index a data member is one run whose records are found by inflating it.
+    An index entry belongs to the data member it names; one without a name belongs to the
+    only member.  A data member without entries is one run whose records are found by
+    inflating it.  Indexes may be deflated, data members may not.
     """
     found = members(file, size)
-    index = {n: m for n, m in found.items() if n.startswith("indexes/")}
+    places = _index_entries(file, found)
     for name, (method, start, length) in found.items():
         if not name.startswith("archive/"):
             continue
         if method != 0:
             raise ValueError(f"{name} is compressed by the ZIP and can't be read by ranges")
-        if not index:
+        if name not in places:
             yield start, None, length
         lengths: list[int] = []
         run, at = start, start
-        for _, place, n in index.values():
-            for line in _range(file, place, n).decode().splitlines():
-                entry = json.loads(line[line.index("{"):])
-                offset, size_ = start + int(entry["offset"]), int(entry["length"])
-                if lengths and (offset != at or at - run >= RANGE_BYTES):
-                    yield run, lengths, at - run
-                    lengths = []
-                if not lengths:
-                    run = offset
-                lengths.append(size_)
-                at = offset + size_
+        for offset, size_ in places.get(name, ()):
+            offset += start
+            if lengths and (offset != at or at - run >= RANGE_BYTES):
+                yield run, lengths, at - run
+                lengths = []
+            if not lengths:
+                run = offset
+            lengths.append(size_)
+            at = offset + size_
         if lengths:
             yield run, lengths, at - run
 
@@ -312,4 +335,7 @@ def with_referred_page(records: DataFrame) -> DataFrame:
     """Add refers_to: the page_id of the response that a revisit names."""
     answers = (records.where("record_type = 'response'")
                .groupBy(F.col("record_id").alias("refers_to_id")).agg(F.max("page_id").alias("refers_to")))
-    return records.join(answers, "refers_to_id", "left")
+    # Responses name nothing; kept out of the join, they are no key that all of them share.
+    named = records.where(F.col("refers_to_id").isNotNull()).join(answers, "refers_to_id", "left")
+    alone = records.where(F.col("refers_to_id").isNull()).withColumn("refers_to", F.lit(None).cast("long"))
+    return named.unionByName(alone)
