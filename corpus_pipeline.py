@@ -7,7 +7,10 @@ costs one stage at most.
 
 Cases.  An empty table gives an empty result from every stage.  Null and empty texts have
 no language and leave in the first stage; texts that the line stage empties stay, link
-with nothing, and leave in the mix, which takes words only.
+with nothing, and leave in the mix, which takes words only.  Of repeated rows and other ties
+the n-gram stage keeps one; the mix takes rows alike in id, source and text as one.  Texts of
+any length are worked on whole.  Extra columns pass through all stages but the last,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -25,9 +28,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def unique_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The text becomes what is left of it, n_chars its new length."""
-    cut = linededup.line_dedup(docs)
-    return (cut.withColumn("text", F.when(F.col("n_dropped") > 0, F.col("kept_text"))
-                           .otherwise(F.col("text")))
+    return (linededup.unique_lines(docs)
             .withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns))
 
 
