@@ -53,6 +53,19 @@ TIME_LAYOUTS = (
     "MMM dd yyyy HH:mm:ss",
     "MM/dd/yyyy HH:mm:ss",
 )
+# Layout families tried last, on the text without weekday and with single blanks: what a
+# text of the family looks like, and its layouts.  Names are English, zones numeric.
+TIME_FAMILIES = (
+    (r"^\d{1,2} [A-Za-z]{3,}", ("d MMM yyyy HH:mm:ss[ Z]", "d MMMM yyyy HH:mm:ss[ Z]",
+                                "d MMM yyyy h:mm:ss a", "d MMMM yyyy h:mm:ss a")),
+    (r"^[A-Za-z]{3,} \d{1,2},? \d{4}", ("MMM d[,] yyyy HH:mm:ss[ Z]", "MMMM d[,] yyyy HH:mm:ss[ Z]",
+                                        "MMM d[,] yyyy h:mm:ss a", "MMMM d[,] yyyy h:mm:ss a")),
+    (r"^\d{1,2}/\d{1,2}/\d{4} .*[AP]M$", ("M/d/yyyy h:mm:ss a", "M/d/yyyy h:mm a")),
+    (r"^[A-Za-z]{3} \d{1,2} [\d:]+ \d{4}$", ("MMM d HH:mm:ss yyyy",)),
+)
+# A system log's time has no year.
+NO_YEAR = r"^[A-Za-z]{3} \d{1,2} \d{2}:\d{2}:\d{2}$"
+WEEKDAY = r"^\s*(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun)[a-z]*,?\s+"
 ZONE_SUFFIX = r"(?:Z|UTC|GMT|[+-]\d{2}:?\d{2})$"
 DOTTED_QUAD = (r"^(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}"
                r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\z")
@@ -71,14 +84,32 @@ def lookup(table: dict, key: Column, value_type: str = "string") -> Column:
     return F.create_map(*pairs)[key].cast(value_type)
 
 
-def instant(text: Column) -> Column:
-    """Parse a timestamp text; NULL when no known layout fits."""
+def instant(text: Column, as_of: Column | None = None) -> Column:
+    """Parse a timestamp text; NULL when no known layout fits.
+
+    A text without a year gets that of ``as_of``, and is unreadable without one.
+    """
     return F.coalesce(F.try_to_timestamp(text),
-                      *[F.try_to_timestamp(text, F.lit(layout)) for layout in TIME_LAYOUTS])
+                      *[F.try_to_timestamp(text, F.lit(layout)) for layout in TIME_LAYOUTS],
+                      _by_family(text, as_of))
+
+
+def _by_family(text: Column, as_of: Column | None) -> Column:
+    """Instants of the layout families; evaluated for texts only that nothing else could read."""
+    plain = F.regexp_replace(F.regexp_replace(text, WEEKDAY, ""), r"\s+", " ")
+    plain = F.regexp_replace(strip(plain), r" (?:GMT|UTC|UT|Z)$", " +0000")
+    plain = F.regexp_replace(plain, r"(?i)([ap])\.?m\.?$", "$1M")
+    plain = F.regexp_replace(F.regexp_replace(plain, "aM$", "AM"), "pM$", "PM")
+    found = [F.when(plain.rlike(shape), F.coalesce(*[F.try_to_timestamp(plain, F.lit(x)) for x in layouts]))
+             for shape, layouts in TIME_FAMILIES]
+    if as_of is not None:
+        dated = F.concat_ws(" ", F.year(as_of).cast("string"), plain)
+        found.append(F.when(plain.rlike(NO_YEAR), F.try_to_timestamp(dated, F.lit("yyyy MMM d HH:mm:ss"))))
+    return F.coalesce(*found)
 
 
 def clean_timestamp(text: Column, as_of: Column) -> Cleaned:
-    parsed = instant(text)
+    parsed = instant(text, as_of)
     value = F.coalesce(F.when(filled(text), parsed), as_of)
     warning = (F.when(~filled(text), F.lit(W_TIME_MISSING))
                .when(parsed.isNull(), message(W_TIME_BAD, text))

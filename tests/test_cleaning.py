@@ -112,3 +112,32 @@ def test_records_that_differ_anywhere_have_different_ids(spark):
     assert ids[0] == ids[1] and len(set(ids)) == len(others) + 1
     moved = rows.select("user", *[x for x in rows.columns if x != "user"])
     assert moved.select(stable_id(moved)).first()[0] == ids[0]
+
+
+def test_layout_families(spark):
+    """Mail, system log, month name and 12-hour layouts; a missing year is that of as_of."""
+    from datetime import datetime
+    noon = datetime(2026, 2, 8, 21, 15, 32)
+    cases = {
+        "Sun, 08 Feb 2026 21:15:32 +0000": (noon, False),
+        "Sun, 8 Feb 2026 22:15:32 +0100": (noon, False),
+        "08 Feb 2026 21:15:32 GMT": (noon, False),
+        "8 February 2026 21:15:32": (noon, True),
+        "February 8, 2026 21:15:32": (noon, True),
+        "Feb 8, 2026 9:15:32 PM": (noon, True),
+        "8 Feb 2026 9:15:32 p.m.": (noon, True),
+        "02/08/2026 09:15:32 PM": (noon, True),
+        "2/8/2026 9:15 pm": (noon.replace(second=0), True),
+        "Sun Feb  8 21:15:32 2026": (noon, True),
+        "Feb  8 21:15:32": (noon.replace(year=2024), True),
+        "Feb 29 01:02:03": (datetime(2024, 2, 29, 1, 2, 3), True),
+        "Foo 8 21:15:32": (None, None), "Feb 30 21:15:32": (None, None), "32 Feb 2026 00:00:00": (None, None),
+        "25/25/2026 09:15:32 PM": (None, None), "13:00 PM": (None, None)}
+    as_of = datetime(2024, 5, 6)
+    df = spark.createDataFrame([(t,) for t in cases], "t string")
+    rule = c.clean_timestamp(F.col("t"), F.lit(as_of))
+    for r in df.select("t", rule.value.alias("value"), rule.warning.alias("warning")).collect():
+        want, no_zone = cases[r.t]
+        assert r.value == (want or as_of), r
+        assert (r.warning or "").startswith("unparseable") == (want is None), r
+        assert ("no timezone" in (r.warning or "")) == bool(no_zone), r
