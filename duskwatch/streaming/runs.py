@@ -16,7 +16,7 @@ from duskwatch.operators.clean import clean_event
 from duskwatch.operators.parse import parse_bronze, parse_findings, parse_silver
 from duskwatch.operators.score import with_threat_score
 from duskwatch.session import shared_dir
-from duskwatch.sinks import lake, rows, tables
+from duskwatch.sinks import documents, lake, rows, tables
 from duskwatch.sinks.messages import to_messages
 from duskwatch.sources.topics import GOLD, SILVER
 from duskwatch.streaming import detectors, joins
@@ -156,9 +156,12 @@ def findings_stream(messages: DataFrame, gold: DataFrame, aggregations_path: str
     summaries = joins.enrich_findings_stream(findings, gold, window, delay=delay)
 
     def write(batch: DataFrame, number: int) -> None:
-        wide = rows.aggregations_wide(joins.enriched_records(batch))
-        tables.insert_ignore(wide, aggregations_path, "flink_id", order=["event_time"])
-        tables.upsert_latest(wide.withColumn("version", F.lit(number)), documents_path, "flink_id", ["version"])
+        records = joins.enriched_records(batch)
+        tables.insert_ignore(rows.aggregations_wide(records), aggregations_path, "flink_id", order=["event_time"])
+        good, bad = documents.conform(records, "aggregations", "findings")
+        tables.insert_dead_letters(bad, dead_path, "findings-documents")
+        tables.upsert_latest(rows.aggregations_wide(good).withColumn("version", F.lit(number)), documents_path,
+                             "flink_id", ["version"])
 
     def bury(batch: DataFrame, number: int) -> None:
         tables.insert_dead_letters(parse_findings(batch, as_of=F.col("timestamp"))[1], dead_path, "findings")
@@ -169,11 +172,19 @@ def findings_stream(messages: DataFrame, gold: DataFrame, aggregations_path: str
 
 
 def store_stream(gold: DataFrame, events_path: str, documents_path: str, once: bool = False,
-                 checkpoint_dir: str | None = None) -> StreamingQuery:
-    """Gold records -> warm ``events`` table and hot documents."""
+                 checkpoint_dir: str | None = None, dead_path: str | None = None) -> StreamingQuery:
+    """Gold records -> warm ``events`` table and hot documents.
+
+    With ``dead_path``, records that do not fit the documents' field types go there
+    instead of to the documents; the table takes all.
+    """
     def each(batch: DataFrame, number: int) -> None:
         wide = rows.events_wide(batch)
         tables.insert_ignore(wide, events_path, "silver_id", order=["event_time"])
+        if dead_path:
+            good, bad = documents.conform(batch, "events", GOLD)
+            tables.insert_dead_letters(bad, dead_path, "store")
+            wide = rows.events_wide(good)
         tables.upsert_latest(wide.withColumn("version", F.lit(number)), documents_path,
                              "silver_id", ["version"])
 

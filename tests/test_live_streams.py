@@ -194,6 +194,43 @@ def test_findings_over_a_longer_span_than_kept_get_no_part_of_a_summary(spark, t
     assert got["short"] == 21 and got["long"] == 0
 
 
+def test_records_that_fit_no_document(spark, tmp_path, lookups):
+    """A value beyond its field's type keeps a record out of the documents, not out of the table."""
+    silver = silver_of(spark, [(f"s{i}", BASE, "1.1.1.1", "MALWARE", "ALLOW", None, 22, 1) for i in range(6)])
+    big = 2 ** 31
+    silver = (silver.withColumn("packet_count", F.when(F.col("id") == "s1", big).otherwise(big - 1).cast("bigint"))
+              .withColumn("source_ip", F.when(F.col("id") == "s2", "host").when(F.col("id") == "s5", "2001:db8::1")
+                          .otherwise(F.col("source_ip")))
+              .withColumn("cpu_percent", F.when(F.col("id").isin("s2", "s3"), float("nan")).otherwise(1.5))
+              .withColumn("bytes_sent", F.lit(2 ** 62)))
+    build_gold(with_threat_score(enrich.enrich(silver, **lookups())))[0].write.parquet(str(tmp_path / "gold"))
+    path = {n: str(tmp_path / n) for n in ("events", "documents", "dead")}
+    for attempt in ("one", "two"):
+        live = spark.readStream.schema(spark.read.parquet(str(tmp_path / "gold")).schema).parquet(str(tmp_path / "gold"))
+        runs.store_stream(live, path["events"], path["documents"], once=True, dead_path=path["dead"],
+                          checkpoint_dir=str(tmp_path / attempt)).awaitTermination(120)
+        assert spark.read.parquet(path["events"]).count() == 6
+        assert sorted(r.silver_id for r in spark.read.parquet(path["documents"]).collect()) == ["s0", "s4", "s5"]
+        dead = spark.read.parquet(path["dead"]).collect()
+        assert {r.stage for r in dead} == {"document"}
+        assert sorted(r.error for r in dead) == [
+            "silver.cpu_percent: not float", "silver.packet_count: not integer",
+            "silver.source_ip: not ip; silver.cpu_percent: not float"]
+
+
+def test_types_of_documents(spark):
+    from duskwatch.sinks.documents import fits
+    cases = [("date", "2024-01-01T00:00:00Z", True), ("date", "soon", False), ("integer", "5", True),
+             ("integer", str(2 ** 31), False), ("integer", "5x", False), ("long", str(2 ** 31), True),
+             ("long", str(2 ** 63), False), ("float", "1e3", True), ("float", "1e39", False), ("float", "x", False),
+             ("ip", "1.2.3.4", True), ("ip", "1.2.3.400", False), ("ip", "::1", True), ("ip", "abcd", False),
+             ("boolean", "true", True), ("boolean", "yes", False), ("object", '{"a": 1}', True), ("object", "[1]", False),
+             ("object", "{", False)]
+    text = schemas.T.StringType()
+    row = spark.range(1).select(*[fits(F.lit(v), k, text).alias(f"c{i}") for i, (k, v, _) in enumerate(cases)]).first()
+    assert [(k, v, row[i]) for i, (k, v, _) in enumerate(cases)] == cases
+
+
 def test_dead_letters_of_two_writers(spark, tmp_path):
     """Concurrent writers keep to their folders; replays look at the dates of their batch."""
     from concurrent.futures import ThreadPoolExecutor
