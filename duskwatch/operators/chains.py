@@ -17,19 +17,28 @@ predecessor starts a new run.
 
 Events are cut into time slices per address.  Each slice also sees the last two
 look-backs before it, which is enough to find its candidates; only the parity of
-an open run is handed from slice to slice, as one small row per slice.
+an open run is handed from slice to slice, as one small row per slice.  Addresses with
+more than ``crowded`` events in a slice go by :mod:`duskwatch.operators.chain_blocks`,
+which gives the same chains.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from duskwatch.functions.text import message
 from duskwatch.functions.timing import micros, minutes_of
+from duskwatch.operators import chain_blocks
 from duskwatch.operators.velocity import none_text
 
 WITHIN = "10 minutes"
 SLICES_PER_LOOKBACK = 4
+# Events of one address in one slice beyond which the slice is cut further.
+CROWDED = 200_000
+# Crowded addresses up to which their list is broadcast.
+LISTED = 100_000
 
 SCAN_TYPES = ("PORT_SCAN", "SSH_ATTEMPT")
 BLOCKS = ("BLOCK", "DROP")
@@ -47,18 +56,43 @@ def chain_role() -> Column:
             .when(F.col("action") == "ALLOW", "success"))
 
 
-def _slices(silver: DataFrame, lookback: int, width: int) -> DataFrame:
-    """Narrow role events, each in its own slice and in those it is context for."""
-    t = F.col("t")
+def _steps(silver: DataFrame) -> DataFrame:
+    """Narrow role events."""
     return (silver.select(none_text(F.col("source_ip")).alias("ip"),
                           F.unix_micros("event_time").alias("t"), "id",
                           chain_role().alias("role"))
-            .where(F.col("role").isNotNull())
-            .withColumn("home", F.floor(t / width))
+            .where(F.col("role").isNotNull()))
+
+
+def _slices(events: DataFrame, lookback: int, width: int) -> DataFrame:
+    """Each event in its own slice and in those it is context for."""
+    t = F.col("t")
+    return (events.withColumn("home", F.floor(t / width))
             .withColumn("slice", F.explode(F.sequence(
                 F.col("home"), F.floor((t + 2 * lookback) / width)))))
 
 
+def _by_crowding(events: DataFrame, width: int, crowded: int):
+    """Events of addresses without and with a crowded slice; either may be None.
+
+    The crowded addresses are counted first; at most one per ``crowded`` events exists.
+    """
+    busy = (events.groupBy("ip", F.floor(F.col("t") / width)).agg(F.count("*").alias("n"))
+            .where(F.col("n") > crowded).select("ip").distinct())
+    many = busy.count()
+    if not many:
+        return events, None
+    if many > LISTED:
+        return None, events
+    return tuple(events.join(F.broadcast(busy), "ip", how) for how in ("left_anti", "left_semi"))
+
+
+def _either(of_plain, of_crowded, events: DataFrame, width: int, crowded: int) -> DataFrame:
+    plain, full = _by_crowding(events, width, crowded)
+    found = [f(rows) for f, rows in ((of_plain, plain), (of_crowded, full)) if rows is not None]
+    return reduce(DataFrame.unionByName, found)
+
+
 def _slice_width(within: str, slice_every: str | None) -> int:
     lookback = micros(within)
     return max(micros(slice_every) if slice_every else SLICES_PER_LOOKBACK * lookback,
@@ -88,11 +122,19 @@ def _candidates(events: DataFrame, lookback: int) -> DataFrame:
 
 
 def attack_chain_candidates(silver: DataFrame, within: str = WITHIN,
-                            slice_every: str | None = None) -> DataFrame:
+                            slice_every: str | None = None, crowded: int = CROWDED) -> DataFrame:
     """Every allowed event with a scan and a block in its look-back (no reset)."""
     lookback, width = micros(within), _slice_width(within, slice_every)
-    found = _candidates(_slices(silver, lookback, width), lookback)
-    return found.where(F.col("slice") == F.col("home")).select(
+
+    def plain(events):
+        found = _candidates(_slices(events, lookback, width), lookback)
+        return found.where(F.col("slice") == F.col("home")).select("ip", "t", "id", "scan", "block")
+
+    def cut(events):
+        found = chain_blocks.candidates(chain_blocks.blocks(events, width, crowded), lookback)
+        return found.select("ip", "t", "id", "scan", "block")
+
+    return _either(plain, cut, _steps(silver), width, crowded).select(
         F.col("ip").alias("source_ip"), F.col("id").alias("success_id"),
         F.timestamp_micros("t").alias("event_time"),
         F.timestamp_micros("scan.t").alias("latest_scan"),
@@ -128,11 +170,9 @@ def _completions(events: DataFrame, lookback: int) -> DataFrame:
     return placed.where((number - run_start) % 2 == 0).select("ip", "t", "id")
 
 
-def attack_chains(silver: DataFrame, within: str = WITHIN,
-                  slice_every: str | None = None) -> DataFrame:
-    """Chains as (address, oldest scan, oldest block, success) with ids and times."""
-    lookback, width = micros(within), _slice_width(within, slice_every)
-    events = _slices(silver, lookback, width)
+def _chains(steps: DataFrame, lookback: int, width: int) -> DataFrame:
+    """ip, end, scan and block of each chain."""
+    events = _slices(steps, lookback, width)
     ends = _completions(events, lookback)
     t = F.col("t")
     marks = (ends.withColumn("home", F.floor(t / width))
@@ -149,10 +189,24 @@ def attack_chains(silver: DataFrame, within: str = WITHIN,
     def oldest(role):
         return F.min(F.when(F.col("role") == role, pos))
 
-    chains = (steps.unionByName(marks)
+    return (steps.unionByName(marks)
               .withColumn("end", ending.over(backwards))
               .where((F.col("end.home") == F.col("slice")) & (t >= F.col("end.t") - lookback))
               .groupBy("ip", "end").agg(oldest("scan").alias("scan"), oldest("block").alias("block")))
+
+
+def attack_chains(silver: DataFrame, within: str = WITHIN, slice_every: str | None = None,
+                  crowded: int = CROWDED) -> DataFrame:
+    """Chains as (address, oldest scan, oldest block, success) with ids and times."""
+    lookback, width = micros(within), _slice_width(within, slice_every)
+
+    def plain(events):
+        return _chains(events, lookback, width).withColumn("end", F.struct("end.t", "end.id"))
+
+    def cut(events):
+        return chain_blocks.chains(chain_blocks.blocks(events, width, crowded, copies=False), lookback)
+
+    chains = _either(plain, cut, _steps(silver), width, crowded)
     return chains.select(
         F.col("ip").alias("source_ip"), F.col("scan.id").alias("scan_id"),
         F.timestamp_micros("scan.t").alias("scan_time"), F.col("block.id").alias("block_id"),

@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from duskwatch.operators import baseline, chains, clean, interval, velocity
+from duskwatch.operators import baseline, chain_blocks, chains, clean, interval, velocity
 from duskwatch.operators.enrich import asset_dim
 from duskwatch.operators.lookup import lookup_join, planned_bytes
 
@@ -66,6 +66,39 @@ def test_chain_windows_are_split_by_time(spark):
     assert over_events and all(re.match(r"ip#\d+, slice#\d+L?, t#", s) for s in over_events)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_chains_of_a_hot_address_and_instant(spark, seed):
+    """Nine tenths of the rows are of one address, most of them at one instant, some twice."""
+    r, rows = random.Random(seed), []
+    for k in range(3000):
+        ip = "hot" if r.random() < 0.9 else r.choice("ab")
+        at = BASE + dt.timedelta(minutes=30) if r.random() < 0.6 else BASE + dt.timedelta(
+            microseconds=r.choice([r.randint(0, 900), r.randint(0, 10 ** 6), r.randint(0, 5 * 10 ** 9)]))
+        part = "SABA"[k % 4] if seed == 1 else r.choice("SBAAN")
+        kind = {"S": "PORT_SCAN"}.get(part, "OTHER")
+        action = {"S": "ALLOW", "B": "DROP", "A": "ALLOW", "N": None}[part]
+        rows += [(ip, at, f"{k:05d}" if seed == 1 else f"{r.random()}", kind, action)] * r.choice([1, 1, 2])
+    df = spark.createDataFrame(rows, SCHEMA)
+    want = walk(rows, dt.timedelta(minutes=10))
+    for crowded in (20, 10 ** 6):
+        got = chains.attack_chains(df, crowded=crowded).collect()
+        assert sorted((x.source_ip, x.scan_id, x.block_id, x.success_id) for x in got) == want
+    assert len(want) > 50
+    plain, cut = (sorted(map(tuple, chains.attack_chain_candidates(df, crowded=c).collect()))
+                  for c in (10 ** 6, 20))
+    assert plain == cut and len(plain) > len(want)
+
+
+def test_blocks_of_a_hot_instant_are_small(spark):
+    rows = spark.range(50_000).selectExpr(
+        "if(id % 10 = 0, 'cold', 'hot') AS ip", "if(id % 20 < 18, 5000000L, id * 100) AS t",
+        "sha2(string(id), 256) AS id", "'scan' AS role")
+    rows = rows.unionByName(rows)               # each record twice
+    sizes = [x[0] for x in chain_blocks.blocks(rows, 2400 * 10 ** 6, 500, copies=False)
+             .groupBy("ip", "slice").count().select("count").collect()]
+    assert sum(sizes) == 50_000 and max(sizes) < 500 * 12 and len(sizes) > 60
+
+
 def test_baseline_equals_walk(spark):
     r = random.Random(3)
     rows = []
