@@ -8,10 +8,12 @@ interval touches, and the exact range is checked on top.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from duskwatch.functions.text import json_text
-from duskwatch.functions.timing import bucket_of
+from duskwatch.functions.timing import bucket_of, micros
 
 BUCKET = "5 minutes"
 
@@ -31,6 +33,48 @@ def interval_join(points: DataFrame, ranges: DataFrame, keys: list[str], at: str
             .where(F.col(at).between(F.col(start), F.col(end))).drop("__bucket"))
 
 
+def range_min(points: DataFrame, ranges: DataFrame, keys: list[str], at: str, start: str,
+              end: str, value: Column, range_id: str, bucket: str = BUCKET,
+              parts: int = 16) -> DataFrame:
+    """(range_id, least): least ``value`` of the points with equal keys and start <= at <= end.
+
+    Time is cut into cells, ``parts`` to a bucket.  Cells wholly inside a range give their
+    least value, one row each; in the two edge cells points and range bounds are sorted
+    together, and a running minimum stops at the bound.  So no rows are formed per (point,
+    range), except for ranges that lie inside one cell.  Ranges without a point, or with a
+    missing key or bound, are left out.
+    """
+    def cell(instant):
+        return F.floor(F.unix_micros(instant) / max(1, micros(bucket) // parts)).cast("bigint")
+
+    cells = points.dropna(subset=keys).select(*keys, F.col(at).alias("__at"), cell(F.col(at)).alias("__cell"),
+                                                value.alias("__v"))
+    spans = ranges.dropna(subset=keys).where(F.col(start) <= F.col(end)).select(
+        *keys, F.col(range_id).alias("__id"), F.col(start).alias("__from"), F.col(end).alias("__to"),
+        cell(F.col(start)).alias("__first"), cell(F.col(end)).alias("__last"))
+    wide, within = spans.where("__first < __last"), spans.where("__first = __last")
+    by_cell = [*keys, "__cell"]
+    whole = (wide.where("__last - __first > 1")
+             .withColumn("__cell", F.explode(F.sequence(F.col("__first") + 1, F.col("__last") - 1)))
+             .join(cells.groupBy(*by_cell).agg(F.min("__v").alias("__v")), by_cell))
+
+    def edge(bound, place, order):
+        marks = wide.select(*keys, F.col(bound).alias("__at"), F.col(place).alias("__cell"), "__id")
+        # At one instant the points come first, so that a bound counts them.
+        so_far = (Window.partitionBy(*by_cell).orderBy(order, F.col("__id").isNotNull())
+                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        return (cells.unionByName(marks, allowMissingColumns=True)
+                .withColumn("__v", F.min("__v").over(so_far))
+                .where(F.col("__id").isNotNull() & F.col("__v").isNotNull()))
+
+    short = (within.withColumnRenamed("__first", "__cell").join(cells, by_cell)
+             .where(F.col("__at").between(F.col("__from"), F.col("__to"))))
+    found = [rows.select("__id", "__v") for rows in (
+        whole, edge("__to", "__last", F.asc("__at")), edge("__from", "__first", F.desc("__at")), short)]
+    return (reduce(DataFrame.unionByName, found).groupBy(F.col("__id").alias(range_id))
+            .agg(F.min("__v").alias("least")))
+
+
 def gold_points(gold: DataFrame) -> DataFrame:
     """Columns of nested gold records that a finding can borrow."""
     return gold.select(

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from duskwatch.operators.interval import BUCKET, interval_join
+from duskwatch.operators.interval import BUCKET, range_min
 
 ALERTING = ("page", "contain")
 
@@ -83,9 +83,13 @@ def aggregation_enriched(aggregations: DataFrame, events: DataFrame,
         F.col("destination_port").alias("top_dest_port"))
     ranges = aggregations.select("flink_id", "source_ip", "first_seen", "last_seen")
     tops = [c for c in points.columns if c.startswith("top_")]
-    best = (interval_join(points, ranges, ["source_ip"], "__at", "first_seen", "last_seen", bucket)
-            .groupBy("flink_id").agg(F.min_by(F.struct(*tops), F.struct(
-                -F.col("top_event_score"), "__at", "top_event_id")).alias("top")))
+    # The search carries narrow rows; one event per finding is fetched afterwards.
+    rank = F.struct((-F.col("top_event_score")).alias("s"), F.col("__at").alias("__at"),
+                    F.col("top_event_id").alias("top_event_id"))
+    found = range_min(points, ranges, ["source_ip"], "__at", "first_seen", "last_seen", rank,
+                      "flink_id", bucket).select("flink_id", "least.__at", "least.top_event_id")
+    best = (points.join(found, ["__at", "top_event_id"]).groupBy("flink_id")
+            .agg(F.first(F.struct(*tops)).alias("top")))
     return (aggregations.select(*AGGREGATION_FIELDS).join(best, "flink_id", "left")
             .select(*AGGREGATION_FIELDS, *[F.col(f"top.{c}").alias(c) for c in tops]))
 

@@ -149,6 +149,22 @@ def test_interval_join_has_no_cartesian_product(spark):
     assert "Cartesian" not in text and "NestedLoop" not in text
 
 
+@pytest.mark.parametrize("parts", [1, 4, 60])
+def test_range_min_equals_brute_force(spark, parts):
+    r = random.Random(parts)
+    points = [(r.choice(["a", "a", "a", "b", None]), BASE + dt.timedelta(seconds=r.choice([r.randint(0, 3000), 900])),
+               r.randint(0, 50)) for _ in range(400)]
+    ranges = [(r.choice(["a", "b", "c", None]), i, BASE + dt.timedelta(seconds=r.choice([r.randint(0, 3000), 900])),
+               BASE + dt.timedelta(seconds=r.randint(0, 3000)) if i % 9 else None) for i in range(400)]
+    want = {i: min(hits) for key, i, lo, hi in ranges
+            if key and hi and (hits := [v for k, at, v in points if k == key and lo <= at <= hi])}
+    got = interval.range_min(
+        spark.createDataFrame(points, "key string, at timestamp, v int"),
+        spark.createDataFrame(ranges, "key string, r int, lo timestamp, hi timestamp"),
+        ["key"], "at", "lo", "hi", F.col("v"), "r", "5 minutes", parts)
+    assert {x.r: x.least for x in got.collect()} == want and len(want) > 50
+
+
 def test_lookup_broadcasts_only_small_tables(spark):
     rows = spark.range(100).withColumnRenamed("id", "k")
     small = spark.sql("SELECT key, key AS v FROM VALUES (1L), (2L), (3L) AS t(key)")
