@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.errors import AnalysisException
 
 DATE = "event_date"
+# Dates of a batch up to which they are listed in the lookup.
+LISTED = 1000
 
 
 def first_per_key(batch: DataFrame, key: str, order: list[str]) -> DataFrame:
@@ -61,9 +63,18 @@ def _dated(batch: DataFrame, at: str) -> DataFrame:
 
 
 def _same_dates(target: DataFrame, batch: DataFrame) -> DataFrame:
-    """Target rows in the batch's date range (prunes folders, null date included)."""
-    low, high, blank = batch.agg(F.min(DATE), F.max(DATE), F.count_if(F.col(DATE).isNull())).first()
-    inside = F.col(DATE).between(F.lit(low), F.lit(high)) if low is not None else F.lit(False)
+    """Target rows of the batch's dates, null date included; reads only their folders.
+
+    The dates are listed one by one, so that a stray one does not open all folders in
+    between.  A batch of more than ``LISTED`` dates reads the whole span of them.
+    """
+    dates = [r[0] for r in batch.select(DATE).distinct().limit(LISTED + 1).collect()]
+    if len(dates) <= LISTED:
+        inside = F.col(DATE).isin([d for d in dates if d is not None])
+        blank = None in dates
+    else:
+        low, high, blank = batch.agg(F.min(DATE), F.max(DATE), F.count_if(F.col(DATE).isNull())).first()
+        inside = F.col(DATE).between(F.lit(low), F.lit(high))
     return target.where(inside | F.col(DATE).isNull() if blank else inside)
 
 

@@ -193,3 +193,21 @@ def test_dead_letters_of_two_streams_and_a_replay(spark, tmp_path):
                                      "timestamp timestamp, topic string")
         tables.insert_dead_letters(dead, path, "clean", timed=False)
     assert sorted(r.topic for r in spark.read.parquet(path).collect()) == ["a", "b"]
+
+
+def test_lookup_reads_only_the_dates_of_a_batch(spark, tmp_path, monkeypatch):
+    """A stray old date and a missing one do not open the folders in between."""
+    path = str(tmp_path / "t")
+    make = lambda days: spark.createDataFrame(
+        [(f"k{d}", None if d is None else BASE + dt.timedelta(days=d)) for d in days],
+        "k string, event_time timestamp")
+    tables.insert_ignore(make([-19000, *range(30), None]), path, "k")
+    batch = tables._dated(make([-19000, 29, None]), "event_time")
+    wanted = tables._same_dates(spark.read.parquet(path), batch)
+    assert {r.k for r in wanted.collect()} == {"k-19000", "k29", "kNone"}
+    plan = wanted._jdf.queryExecution().executedPlan().toString()
+    assert "event_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    for listed in (1000, 1):
+        monkeypatch.setattr(tables, "LISTED", listed)
+        tables.insert_ignore(make([-19000, 29, None]), path, "k")
+        assert spark.read.parquet(path).count() == 32
