@@ -6,6 +6,7 @@ results compare by value with any other engine.
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -15,10 +16,10 @@ from duskwatch.functions.text import json_text
 from duskwatch.operators import (assess, baseline, chains, clean, deadletter, enrich, interval,
                                  parse, velocity)
 from duskwatch.plans import inputs, pipeline as p, views
-from duskwatch.session import tune
-from duskwatch.sinks import lake as lake_sink, rows, tables
+from duskwatch.session import shared_dir, tune
+from duskwatch.sinks import lake as lake_sink, rows, tables, textindex, versioned
 from duskwatch.sources import replies as reply_source, topics
-from duskwatch.sources.lake import hour_range
+from duskwatch.sources.lake import hour_range, read_archive
 
 SEP = "; "
 
@@ -409,6 +410,27 @@ def lake_pruned_read(spark, sf):
             .agg(F.count("*").alias("events"), F.sum("bytes_sent").alias("bytes_sent")))
 
 
+def _folder(spark, name):
+    """A new folder beside the work tables that all executors see."""
+    return f"{shared_dir(spark)}/duskwatch/{name}-{uuid.uuid4().hex}"
+
+
+def archive_read(spark, sf):
+    """The hours of ``lake_pruned_read`` from a written archive of two batches, the second retried.
+
+    A third batch is written but never listed as complete; readers skip it.
+    """
+    path = _folder(spark, "archive")
+    good, _ = lake_sink.split_by_time(p.silver_table(spark, sf), "silver", topics.SILVER, p.as_of())
+    early = F.col("event_time") < F.lit("2024-01-08").cast("timestamp")
+    for number, part in ((0, early), (1, ~early), (1, ~early)):
+        lake_sink.write_batch(good.where(part), path, "silver", number)
+    lake_sink.write_lake(good.where(early), f"{path}/stream=silver/batch=2")
+    rows = read_archive(spark, path, "silver", "json", datetime(2024, 1, 5, 6), datetime(2024, 1, 12, 18, 30))
+    return (rows.groupBy("month", "day", "hour")
+            .agg(F.count("*").alias("events"), F.sum("bytes_sent").alias("bytes_sent")))
+
+
 def _events(spark, sf):
     """The warm ``events`` table over the stored gold layer."""
     return rows.events_wide(p.gold_table(spark, sf))
@@ -429,13 +451,26 @@ def insert_ignore(spark, sf):
     return flat(tables.new_rows(twice, stored, "silver_id", ["event_time"]))
 
 
+def insert_ignore_table(spark, sf):
+    """What a written table holds beyond its first load after an overlapping batch came twice."""
+    path = _folder(spark, "events")
+    events = _events(spark, sf).select("silver_id", "original_id", "event_time", "threat_score")
+    split = F.lit("2024-01-16").cast("timestamp")
+    tables.insert_ignore(events.where(F.col("event_time") < split), path, "silver_id")
+    batch = events.where(F.col("event_time") >= split - F.make_interval(days=F.lit(5)))
+    for _ in range(2):
+        tables.insert_ignore(batch, path, "silver_id")
+    stored = spark.read.parquet(path).where(F.col("event_time") >= split)
+    return flat(stored.select(*events.columns))
+
+
 def aggregations_wide(spark, sf):
     return flat(p.aggregations_table(spark, sf).drop("chain", "ip_reputation", "asset_context",
                                                      "identity_context"))
 
 
-def upsert_latest(spark, sf):
-    """Documents after a second version of every third one arrives."""
+def _document_versions(spark, sf):
+    """Documents and a later batch with two new versions of every third one."""
     docs = _events(spark, sf).select("silver_id", "original_id", "event_time",
                                             "threat_score")
     n = F.substring("original_id", 5, 20).cast("bigint")
@@ -443,9 +478,24 @@ def upsert_latest(spark, sf):
     update = (docs.withColumn("threat_score", F.col("threat_score") + 1)
               .withColumn("version", F.explode(F.when(n % 3 == 0, F.array(F.lit(2), F.lit(3)))))
               .withColumn("threat_score", F.col("threat_score") * F.col("version")))
+    return target, update
+
+
+def upsert_latest(spark, sf):
+    """Documents after a second version of every third one arrives."""
+    target, update = _document_versions(spark, sf)
     return flat(tables.merged(target, update, "silver_id", ["version"]))
 
 
+def upsert_versions(spark, sf):
+    """The same from a written table, after the second batch came twice."""
+    path = _folder(spark, "documents")
+    target, update = _document_versions(spark, sf)
+    for batch in (target, update, update):
+        versioned.upsert(batch, path, "silver_id", ["version"])
+    return flat(versioned.current(spark, path).select(*target.columns))
+
+
 def hot_window(spark, sf):
     rows = tables.hot_window(_events(spark, sf), p.as_of(), 15)
     return (rows.groupBy(F.to_date("event_time").cast("string").alias("day"))
@@ -502,6 +552,14 @@ def narrative_search(spark, sf):
                                   ["ssh", "attempt"]))
 
 
+def narrative_index_search(spark, sf):
+    """The same search by an inverted index that is written first."""
+    path = _folder(spark, "index")
+    events, found = _events(spark, sf), p.aggregations_table(spark, sf)
+    textindex.write_index(views.searchable(events, found), path)
+    return flat(views.text_search(events, found, ["ssh", "attempt"], spark.read.parquet(path)))
+
+
 _QUERIES = (
     agg_type_tag, reply_explode, bronze_parse, dead_letter_parse, dead_letter_enrich,
     dead_letter_by_stage, clean_timestamp, clean_ip, clean_domain, clean_port, clean_severity,
@@ -515,7 +573,8 @@ _QUERIES = (
     lake_partitions, lake_bad_rows, lake_pruned_read, events_wide, insert_ignore,
     aggregations_wide, upsert_latest, hot_window, v_hourly_threat_trends, v_top_threat_ips,
     v_mitre_coverage, v_action_summary, v_aggregation_enriched, v_ip_full_picture, events_health,
-    top_events_by_score, ip_timeline, narrative_search)
+    top_events_by_score, ip_timeline, narrative_search, archive_read, insert_ignore_table,
+    upsert_versions, narrative_index_search)
 
 
 def _tuned(query):

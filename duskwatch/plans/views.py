@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from duskwatch.operators.interval import BUCKET, range_min
+from duskwatch.sinks import textindex
 
 ALERTING = ("page", "contain")
 
@@ -138,21 +139,29 @@ def ip_timeline(events: DataFrame, ip: str, start=None, end=None) -> DataFrame:
     return rows.orderBy(F.desc("event_time"), "silver_id")
 
 
-def text_search(events: DataFrame, aggregations: DataFrame, words: list[str],
-                **equal) -> DataFrame:
-    """Events and findings whose narrative or description holds all the words.
-
-    Words are matched whole and without regard to case; ``equal`` adds exact
-    filters on fields both sides have.
-    """
-    both = (events.select(F.lit("event").alias("record_type"), F.col("silver_id").alias("record_id"),
+def searchable(events: DataFrame, aggregations: DataFrame) -> DataFrame:
+    """Events and findings as records with one text each."""
+    return (events.select(F.lit("event").alias("record_type"), F.col("silver_id").alias("record_id"),
                           "source_ip", "event_time", "recommended_action",
                           F.col("narrative").alias("text"))
             .unionByName(aggregations.select(
                 F.lit("aggregation").alias("record_type"), F.col("flink_id").alias("record_id"),
                 "source_ip", "event_time", "recommended_action",
                 F.concat_ws(" ", "description", "narrative").alias("text"))))
-    terms = F.split(F.lower("text"), r"[^\p{L}\p{N}]+")
+
+
+def text_search(events: DataFrame, aggregations: DataFrame, words: list[str],
+                index: DataFrame | None = None, **equal) -> DataFrame:
+    """Events and findings whose narrative or description holds all the words.
+
+    Words are matched whole and without regard to case; ``equal`` adds exact
+    filters on fields both sides have.  With an ``index`` (``sinks.textindex``) of the
+    records only the texts it names are read; without one every text is split.
+    """
+    both = searchable(events, aggregations)
+    if index is not None:
+        both = textindex.indexed(both, index, words)
+    terms = textindex.text_words()
     found = reduce(lambda a, b: a & b, [F.array_contains(terms, w.lower()) for w in words])
     return events_where(both.where(found), **equal)
 

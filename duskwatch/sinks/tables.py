@@ -58,11 +58,11 @@ def existing(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def _dated(batch: DataFrame, at: str) -> DataFrame:
+def dated(batch: DataFrame, at: str) -> DataFrame:
     return batch.withColumn(DATE, F.to_date(at))
 
 
-def _same_dates(target: DataFrame, batch: DataFrame) -> DataFrame:
+def same_dates(target: DataFrame, batch: DataFrame) -> DataFrame:
     """Target rows of the batch's dates, null date included; reads only their folders.
 
     The dates are listed one by one, so that a stray one does not open all folders in
@@ -82,10 +82,10 @@ def insert_ignore(batch: DataFrame, path: str, key: str, at: str = "event_time",
                   order: list[str] | None = None) -> None:
     """Append the rows whose key the table lacks.  Writing a batch twice adds nothing."""
     spark = batch.sparkSession
-    rows = _dated(batch, at)
+    rows = dated(batch, at)
     target = existing(spark, path)
     if target is not None:
-        target = _same_dates(target, rows)
+        target = same_dates(target, rows)
     fresh = new_rows(rows, target, key, order or [at])
     (fresh.hint("rebalance", F.col(DATE)).write.mode("append").partitionBy(DATE).parquet(path))
 
@@ -94,11 +94,11 @@ def upsert_latest(batch: DataFrame, path: str, key: str, version: list[str],
                   at: str = "event_time") -> None:
     """Rewrite the dates the batch touches with the latest version of each key."""
     spark = batch.sparkSession
-    rows = _dated(batch, at)
+    rows = dated(batch, at)
     target = existing(spark, path)
     if target is not None:
         dates = rows.select(DATE).distinct()
-        target = _same_dates(target, rows).join(
+        target = same_dates(target, rows).join(
             dates, target[DATE].eqNullSafe(dates[DATE]), "left_semi")
     out = merged(target, rows, key, version)
     (out.hint("rebalance", F.col(DATE)).write.mode("overwrite")
@@ -145,8 +145,8 @@ def insert_dead_letters(dead: DataFrame, path: str, writer: str, timed: bool = T
     spark, own = dead.sparkSession, f"{path}/writer={writer}"
     what = F.to_json(F.struct("stage", "topic", "error", "original_message"))
     key = ["id", DATE] if timed else ["id"]
-    rows = _dated(dead.withColumn("id", F.sha2(what, 256)), "timestamp").dropDuplicates(key)
+    rows = dated(dead.withColumn("id", F.sha2(what, 256)), "timestamp").dropDuplicates(key)
     target = existing(spark, own)
     if target is not None:
-        rows = rows.join((_same_dates(target, rows) if timed else target).select(*key), key, "left_anti")
+        rows = rows.join((same_dates(target, rows) if timed else target).select(*key), key, "left_anti")
     rows.hint("rebalance", F.col(DATE)).write.mode("append").partitionBy(DATE).parquet(own)

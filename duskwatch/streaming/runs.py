@@ -144,13 +144,15 @@ def enrichment_stream(messages: DataFrame, lookups: Callable[[], dict[str, DataF
 
 def findings_stream(messages: DataFrame, gold: DataFrame, aggregations_path: str, documents_path: str,
                     dead_path: str, window: str = "10 minutes", delay: str = "30 seconds",
-                    once: bool = False, checkpoint_dir: str | None = None) -> list[StreamingQuery]:
+                    once: bool = False, checkpoint_dir: str | None = None,
+                    upsert: Callable[..., None] = tables.upsert_latest) -> list[StreamingQuery]:
     """Messages of the finding topics joined to gold -> ``aggregations`` table and documents.
 
     ``gold`` is a stream of nested gold records (``parse.parse_gold``, or the gold table).
     A finding is written once the watermark has passed all gold events it may match, with
     an empty summary if there are none.  Both sinks go by the finding's id.  A second
-    query files unreadable messages.
+    query files unreadable messages.  ``upsert`` writes the documents: into plain date
+    folders, or with ``versioned.upsert`` into versions that readers may follow meanwhile.
     """
     findings, _ = parse_findings(messages, received="timestamp")
     summaries = joins.enrich_findings_stream(findings, gold, window, delay=delay)
@@ -160,8 +162,8 @@ def findings_stream(messages: DataFrame, gold: DataFrame, aggregations_path: str
         tables.insert_ignore(rows.aggregations_wide(records), aggregations_path, "flink_id", order=["event_time"])
         good, bad = documents.conform(records, "aggregations", "findings")
         tables.insert_dead_letters(bad, dead_path, "findings-documents")
-        tables.upsert_latest(rows.aggregations_wide(good).withColumn("version", F.lit(number)), documents_path,
-                             "flink_id", ["version"])
+        upsert(rows.aggregations_wide(good).withColumn("version", F.lit(number)), documents_path,
+               "flink_id", ["version"])
 
     def bury(batch: DataFrame, number: int) -> None:
         tables.insert_dead_letters(parse_findings(batch, as_of=F.col("timestamp"))[1], dead_path, "findings")
@@ -172,11 +174,12 @@ def findings_stream(messages: DataFrame, gold: DataFrame, aggregations_path: str
 
 
 def store_stream(gold: DataFrame, events_path: str, documents_path: str, once: bool = False,
-                 checkpoint_dir: str | None = None, dead_path: str | None = None) -> StreamingQuery:
+                 checkpoint_dir: str | None = None, dead_path: str | None = None,
+                 upsert: Callable[..., None] = tables.upsert_latest) -> StreamingQuery:
     """Gold records -> warm ``events`` table and hot documents.
 
     With ``dead_path``, records that do not fit the documents' field types go there
-    instead of to the documents; the table takes all.
+    instead of to the documents; the table takes all.  ``upsert`` as in ``findings_stream``.
     """
     def each(batch: DataFrame, number: int) -> None:
         wide = rows.events_wide(batch)
@@ -185,7 +188,6 @@ def store_stream(gold: DataFrame, events_path: str, documents_path: str, once: b
             good, bad = documents.conform(batch, "events", GOLD)
             tables.insert_dead_letters(bad, dead_path, "store")
             wide = rows.events_wide(good)
-        tables.upsert_latest(wide.withColumn("version", F.lit(number)), documents_path,
-                             "silver_id", ["version"])
+        upsert(wide.withColumn("version", F.lit(number)), documents_path, "silver_id", ["version"])
 
     return start(gold, "store", each, once, checkpoint_dir=checkpoint_dir)
