@@ -4,18 +4,24 @@ Document frequencies of all terms are counted, and the lexicon keeps the terms w
 inverse document frequency lies in a band.  The band's lower edge in document share,
 ``low``, bounds the lexicon: it has at most (mean distinct terms per document) / low
 entries however large the corpus, so it may come to the driver and stand in the plan.
-A document keeps its distinct terms in the lexicon, sorted by their hashes.  The lexicon
-is split at random into ``FAMILIES`` parts, and each part into nested subsets of falling
-density (1, 1/2, 1/4 ...); a document is hashed over the sparsest subset of each part that
-holds any of its terms.  So short and long documents both get subsets in which a small
-edit often changes nothing.  A fingerprint is the row of these hashes, and the likeness
-of two fingerprints is the share of equal ones among those that either has.
+A document keeps its distinct terms in the lexicon, sorted by their hashes.
+
+The lexicon is split at random into ``FAMILIES`` parts, and each part into nested subsets of
+falling density (1, 1/2, 1/4 ...).  These subsets are fixed by the terms' hashes alone.  A
+document is hashed over all its terms in every one of them, down to the last density at which
+it has any.  The terms outside the lexicon are hashed in the same way over ``SPARE`` parts.
+
+Two fingerprints are compared at one density: the sparsest at which at least half of the
+subsets hold a term of either document, so that short and long documents both meet in
+subsets that a small edit often leaves alone.  Their likeness is the share of equal hashes
+among those that either has.  All parts outside the lexicon together weigh as much as one
+part of it, so they decide only where the lexicon says little.
 
 Cases.  Null is like the empty text: no term, an empty fingerprint, likeness 1 to another
-empty one and 0 to others.  With fewer than ``few`` terms in the lexicon a document keeps
-all its terms.  Equal texts have equal fingerprints.  Null ids come first in the order of
-documents, equal ids are ordered by a hash of the text.  A single document is its own
-next one.  Empty table: empty result.
+empty one and 0 to others.  Equal texts have equal fingerprints; very long texts have longer
+ones, by the logarithm of their terms.  Equal ids are ordered by a hash of the text; null
+ids come first.  A single document is its own next one.  Repeated rows are fingerprinted
+alike.  Columns other than ``doc_id`` and ``text`` are not read.  Empty table: empty result.
 """
 
 from __future__ import annotations
@@ -24,7 +30,8 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from duskwatch.llm.common import id_key, let, text_of, words
 
-FAMILIES, DIGITS = 16, 8
+FAMILIES, SPARE, DIGITS = 16, 8, 6
+EMPTY = "-" * DIGITS
 # Neighbours are found in id ranges of about this many documents, at most this many ranges.
 RANGE_ROWS, RANGES = 512, 1 << 16
 
@@ -43,46 +50,75 @@ def lexicon(docs: DataFrame, low: float = 0.005, high: float = 0.2) -> list[int]
     return sorted(r[0] for r in rows.select("term").collect())
 
 
-def _kept(column: str, band: list[int], few: int) -> Column:
-    if not band:
-        return F.col(column)
-    listed = ", ".join(f"{h}L" for h in band)
-    inside = F.expr(f"filter({column}, h -> h IN ({listed}))")
-    return let(inside, lambda x: F.when(F.size(x) < few, F.col(column)).otherwise(x))
+def _levels(h: Column, families: int) -> Column:
+    """2 to the number of densities below the first to which a term belongs."""
+    bits = F.shiftrightunsigned(h, families.bit_length() - 1)
+    bits = bits.bitwiseAND(F.lit((1 << 30) - 1)).bitwiseOR(F.lit(1 << 30))
+    return bits.bitwiseAND(-bits)
+
+
+def _codes(terms: Column, families: int) -> Column:
+    """The hashes of the terms in each subset, density by density, as one text."""
+    def code(held: Column) -> Column:
+        return F.when(F.size(held) > 0, F.right(
+            F.lpad(F.hex(F.xxhash64(held)), 16, "0"), F.lit(DIGITS))).otherwise(EMPTY)
+
+    deepest = F.array_max(F.transform(terms, lambda h: _levels(h, families)))
+    levels = F.sequence(F.lit(0), F.coalesce(F.round(F.log2(deepest)), F.lit(0)).cast("int"))
 
+    def part(k: Column) -> Column:
+        mine = F.filter(terms, lambda h: h.bitwiseAND(F.lit(families - 1)) == k)
+        return let(mine, lambda own: F.transform(levels, lambda level: code(
+            F.filter(own, lambda h: _levels(h, families) >= F.pow(F.lit(2.0), level)))))
 
-def with_fingerprint(df: DataFrame, text: str, name: str, band: list[int], few: int = 8) -> DataFrame:
-    """Add the fingerprint of a text column."""
+    parts = F.transform(F.sequence(F.lit(0), F.lit(families - 1)), part)
+    text = let(parts, lambda rows: F.array_join(F.transform(levels, lambda level: F.array_join(
+        F.transform(rows, lambda row: F.get(row, level)), "")), ""))
+    return F.when(F.size(terms) > 0, text).otherwise("")
+
+
+def with_fingerprint(df: DataFrame, text: str, name: str, band: list[int]) -> DataFrame:
+    """Add the fingerprint of a text column: hashes inside the lexicon, a slash, those outside."""
     rest = df.columns
-    own = df.select("*", terms(text_of(text)).alias("__terms"))
-    own = own.select(*rest, _kept("__terms", band, few).alias("__kept"))
+    listed = f"filter(__terms, h -> h IN ({', '.join(f'{h}L' for h in band)}))"
+    inside = F.expr(listed) if band else F.array().cast("array<bigint>")
+    own = (df.select("*", terms(text_of(text)).alias("__terms")).withColumn("__inside", inside)
+           .withColumn("__outside", F.array_except("__terms", "__inside")))
+    both = F.concat(_codes(F.col("__inside"), FAMILIES), F.lit("/"), _codes(F.col("__outside"), SPARE))
+    return own.select(*rest, F.when(F.size("__terms") > 0, both).otherwise(EMPTY).alias(name))
 
-    def density(h: Column) -> Column:
-        # The lowest set bit above the family's bits: 1, 2, 4 ... from each subset to the next.
-        bits = F.shiftrightunsigned(h, 4).bitwiseAND(F.lit((1 << 30) - 1)).bitwiseOR(F.lit(1 << 30))
-        return bits.bitwiseAND(-bits)
 
-    def family(k: int) -> Column:
-        mine = F.filter("__kept", lambda h: h.bitwiseAND(F.lit(FAMILIES - 1)) == k)
-        sparsest = let(mine, lambda a: let(F.array_max(F.transform(a, density)), lambda top: F.filter(
-            a, lambda h: density(h) == top)))
-        return let(sparsest, lambda s: F.when(
-            F.size(s) > 0, F.right(F.lpad(F.hex(F.xxhash64(s)), 16, "0"), F.lit(DIGITS)))
-            .otherwise("-" * DIGITS))
+def _shared(a: Column, b: Column, families: int) -> Column:
+    """Subsets that either document uses and those equal in both, at the density that fits them."""
+    width = families * DIGITS
+    last = F.greatest(F.length(a), F.length(b)) / width - 1
 
-    return own.select(*rest, F.concat(*[family(k) for k in range(FAMILIES)]).alias(name))
+    def at(level: Column) -> Column:
+        def held(codes: Column, k: Column) -> Column:
+            return F.substring(codes, level * width + k * DIGITS + 1, F.lit(DIGITS))
 
+        pairs = F.transform(F.sequence(F.lit(0), F.lit(families - 1)), lambda k: F.struct(
+            held(a, k).alias("a"), held(b, k).alias("b")))
+        none = (EMPTY, "")
+        return let(pairs, lambda rows: F.struct(
+            F.size(F.filter(rows, lambda p: ~p.a.isin(*none) | ~p.b.isin(*none))).alias("used"),
+            F.size(F.filter(rows, lambda p: ~p.a.isin(*none) & (p.a == p.b))).alias("same")))
 
-def likeness(a: str, b: str) -> Column:
-    parts = F.sequence(F.lit(0), F.lit(FAMILIES - 1))
+    counts = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0)).cast("int")), at)
+    return let(counts, lambda all_: let(
+        F.filter(all_, lambda c: c.used * 2 >= families),
+        lambda full: F.when(F.size(full) > 0, F.element_at(full, -1)).otherwise(F.get(all_, F.lit(0)))))
 
-    def part(name: str, k: Column) -> Column:
-        return F.substring(F.col(name), k * DIGITS + 1, DIGITS)
 
-    empty = "-" * DIGITS
-    used = F.size(F.filter(parts, lambda k: (part(a, k) != empty) | (part(b, k) != empty)))
-    same = F.size(F.filter(parts, lambda k: (part(a, k) != empty) & (part(a, k) == part(b, k))))
-    return F.when(used == 0, F.lit(1.0)).otherwise(same / used)
+def likeness(a: str, b: str) -> Column:
+    """Likeness of two fingerprints, 0 to 1."""
+    def side(number: int, families: int) -> Column:
+        return _shared(F.split_part(F.col(a), F.lit("/"), F.lit(number)),
+                       F.split_part(F.col(b), F.lit("/"), F.lit(number)), families)
+
+    return let(F.struct(side(1, FAMILIES).alias("own"), side(2, SPARE).alias("spare")), lambda s: F.when(
+        s.own.used + s.spare.used == 0, F.lit(1.0)).otherwise(
+        (s.own.same + s.spare.same / SPARE) / (s.own.used + s.spare.used / SPARE)))
 
 
 def ranged(docs: DataFrame) -> tuple[DataFrame, WindowSpec]:
