@@ -64,16 +64,21 @@ def _codes(terms: Column, families: int) -> Column:
             F.lpad(F.hex(F.xxhash64(held)), 16, "0"), F.lit(DIGITS))).otherwise(EMPTY)
 
     deepest = F.array_max(F.transform(terms, lambda h: _levels(h, families)))
-    levels = F.sequence(F.lit(0), F.coalesce(F.round(F.log2(deepest)), F.lit(0)).cast("int"))
+    ks = F.sequence(F.lit(0), F.lit(families - 1))
 
-    def part(k: Column) -> Column:
-        mine = F.filter(terms, lambda h: h.bitwiseAND(F.lit(families - 1)) == k)
-        return let(mine, lambda own: F.transform(levels, lambda level: code(
-            F.filter(own, lambda h: _levels(h, families) >= F.pow(F.lit(2.0), level)))))
+    def listed(levels: Column) -> Column:
+        def part(k: Column) -> Column:
+            mine = F.transform(F.filter(terms, lambda h: h.bitwiseAND(F.lit(families - 1)) == k),
+                               lambda h: F.struct(h.alias("h"), _levels(h, families).alias("to")))
+            return let(mine, lambda own: F.transform(levels, lambda level: code(
+                F.filter(own, lambda x: x.to >= level).h)))
 
-    parts = F.transform(F.sequence(F.lit(0), F.lit(families - 1)), part)
-    text = let(parts, lambda rows: F.array_join(F.transform(levels, lambda level: F.array_join(
-        F.transform(rows, lambda row: F.get(row, level)), "")), ""))
+        return let(F.transform(ks, part), lambda rows: F.array_join(F.transform(
+            levels, lambda _, i: F.array_join(F.transform(rows, lambda row: F.get(row, i)), "")), ""))
+
+    powers = F.transform(F.sequence(F.lit(0), F.coalesce(F.round(F.log2(deepest)), F.lit(0)).cast("int")),
+                         lambda i: F.pow(F.lit(2.0), i).cast("bigint"))
+    text = let(powers, listed)
     return F.when(F.size(terms) > 0, text).otherwise("")
 
 
@@ -92,14 +97,14 @@ def _shared(a: Column, b: Column, families: int) -> Column:
     """Subsets that either document uses and those equal in both, at the density that fits them."""
     width = families * DIGITS
     last = F.greatest(F.length(a), F.length(b)) / width - 1
+    ks, none = F.sequence(F.lit(0), F.lit(families - 1)), (EMPTY, "")
 
     def at(level: Column) -> Column:
-        def held(codes: Column, k: Column) -> Column:
-            return F.substring(codes, level * width + k * DIGITS + 1, F.lit(DIGITS))
+        def held(codes: Column) -> Column:
+            return let(F.substring(codes, level * width + 1, F.lit(width)), lambda own: F.transform(
+                ks, lambda k: F.substring(own, k * DIGITS + 1, F.lit(DIGITS))))
 
-        pairs = F.transform(F.sequence(F.lit(0), F.lit(families - 1)), lambda k: F.struct(
-            held(a, k).alias("a"), held(b, k).alias("b")))
-        none = (EMPTY, "")
+        pairs = F.zip_with(held(a), held(b), lambda x, y: F.struct(x.alias("a"), y.alias("b")))
         return let(pairs, lambda rows: F.struct(
             F.size(F.filter(rows, lambda p: ~p.a.isin(*none) | ~p.b.isin(*none))).alias("used"),
             F.size(F.filter(rows, lambda p: ~p.a.isin(*none) & (p.a == p.b))).alias("same")))
@@ -113,8 +118,9 @@ def _shared(a: Column, b: Column, families: int) -> Column:
 def likeness(a: str, b: str) -> Column:
     """Likeness of two fingerprints, 0 to 1."""
     def side(number: int, families: int) -> Column:
-        return _shared(F.split_part(F.col(a), F.lit("/"), F.lit(number)),
-                       F.split_part(F.col(b), F.lit("/"), F.lit(number)), families)
+        halves = F.struct(*[F.split_part(F.col(x), F.lit("/"), F.lit(number)).alias(n)
+                            for x, n in ((a, "a"), (b, "b"))])
+        return let(halves, lambda h: _shared(h.a, h.b, families))
 
     return let(F.struct(side(1, FAMILIES).alias("own"), side(2, SPARE).alias("spare")), lambda s: F.when(
         s.own.used + s.spare.used == 0, F.lit(1.0)).otherwise(
