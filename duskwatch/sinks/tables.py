@@ -78,6 +78,10 @@ def same_dates(target: DataFrame, batch: DataFrame) -> DataFrame:
     return target.where(inside | F.col(DATE).isNull() if blank else inside)
 
 
+# The names these two had before other modules used them.
+_dated, _same_dates = dated, same_dates
+
+
 def insert_ignore(batch: DataFrame, path: str, key: str, at: str = "event_time",
                   order: list[str] | None = None) -> None:
     """Append the rows whose key the table lacks.  Writing a batch twice adds nothing."""
