@@ -30,8 +30,14 @@ def postings(records: DataFrame, at: str = "event_time") -> DataFrame:
 
 
 def write_index(records: DataFrame, path: str, at: str = "event_time") -> None:
-    (postings(records, at).hint("rebalance", F.col(DATE)).sortWithinPartitions(DATE, "word")
-     .write.mode("append").partitionBy(DATE).parquet(path))
+    """Append the postings of a batch.
+
+    Texts are dealt to the files, once each, before they become a row per word.  Ids are
+    hashes, which repeat from word to word and hold half a byte a character: hence zstd.
+    """
+    dealt = records.select(F.to_date(at).alias(DATE), *KEY, "text").hint("rebalance", F.col(DATE))
+    (postings(dealt, DATE).sortWithinPartitions(DATE, "word").write.mode("append")
+     .option("compression", "zstd").partitionBy(DATE).parquet(path))
 
 
 def holders(index: DataFrame, words: list[str]) -> DataFrame:
