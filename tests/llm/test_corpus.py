@@ -200,6 +200,22 @@ def test_dropout_in_a_long_segment_does_not_repeat():
     assert ids == bpe.Pieces(bpe.DEFAULT_MODEL).encode(text, 5, 1, 0.3).tolist()
 
 
+@pytest.mark.parametrize("remembered", [bpe.REMEMBERED, 3])
+def test_texts_at_once_equal_one_by_one(rows, remembered, monkeypatch):
+    """Many texts are merged side by side, not segment by segment; ids and draws stay."""
+    texts = [r[1] or "" for r in rows] + ["x\ny  z \n\n q", "a▁b", "漢字" * 40 + " 𐍈𐍈 漢字 ab\U0001f642cd", ""]
+    names = ["" if r[0] is None else r[0] for r in rows] + [7, 8, 9, 10]
+    plain, p = bpe.pieces(bpe.DEFAULT_MODEL), bpe.Pieces(bpe.DEFAULT_MODEL)
+    cases = [(seed, dropout) for seed in (0, 11) for dropout in (0.0, 1e-9, 0.1, 0.5, 1.0)]
+    want = [[plain.encode(t, d, *c).tolist() for t, d in zip(texts, names)] for c in cases]
+    monkeypatch.setattr(bpe, "REMEMBERED", remembered)
+    monkeypatch.setattr(bpe, "TOGETHER", 3000)
+    monkeypatch.setattr(bpe, "COLUMNS", 50)
+    monkeypatch.setattr(bpe.Pieces, "_merge_short", None)
+    for c, ids in zip(cases, want):
+        assert [x.tolist() for x in p.encode_all(texts, names, *c)] == ids
+
+
 def test_round_trip(docs, rows):
     got = bpe.round_trip(docs).collect()
     assert len(got) == len(rows) and all(r.lossless for r in got)
