@@ -20,9 +20,11 @@ members of a part's group are paired with its smallest member, never with each o
 Pairs are sifted by a parity bit sketch of about four bits per n-gram, and the rest
 verified on the texts.  Where a group then still spans several components, each member is
 paired with its nearest members of other components, by rounds: found links merge
-components, and the number of neighbours rises from round to round (by RISE).  The rounds
-end when every pair across components that shares a part and passes the bit sketch has
-been verified, which makes the join exact (pairs within a component need no test).
+components, and the number of neighbours rises from round to round (by RISE).  A round looks
+again only at the parts where the one before left neighbours out; in all others every pair
+has been verified.  The rounds end when every pair across components that shares a part and
+passes the bit sketch has been verified, which makes the join exact (pairs within a
+component need no test).
 
 Groups of any size are split: within a task large groups shrink to their smallest member
 before the shuffle, and joins leave hot keys to Spark's skew handling.
@@ -51,8 +53,9 @@ SMALL, RATIO, PARTS, SMALL_PARTS = 64, 4, 3, 1 << 20
 # n-grams or parts gathered per task before they are combined, and the members of a part
 # that one task passes on as they are.
 CHUNK, LOCAL = 1 << 21, 16
-# How many times more neighbours each round across components looks at.
-RISE = 256
+# How many times more neighbours each round across components looks at, and the pairs of one
+# part whose sketches are compared at a time.
+RISE, AT_ONCE = 256, 1 << 18
 
 _rng = np.random.default_rng(97)
 _BYTE = _rng.integers(0, 1 << 64, 256, np.uint64, endpoint=False)
@@ -90,7 +93,8 @@ def ngram_set(text: str | None, k: int = WORDS) -> np.ndarray:
     gram = np.full(len(word) - k + 1, k, np.uint64)
     for j in range(k):
         gram = gram * _BASE + word[j:len(word) - k + 1 + j]
-    return np.unique(mix64(gram))
+    gram = np.sort(mix64(gram))
+    return gram[np.concatenate([[True], gram[1:] != gram[:-1]])]
 
 
 def reach(n: int, t: float = SIMILAR) -> int:
@@ -123,7 +127,7 @@ def signatures(grams: np.ndarray, hot: np.ndarray, t: float = SIMILAR) -> np.nda
         salt = mix64(np.array([b + 1], np.uint64))
         token = mix64(grams ^ salt)
         part = token % np.uint64(parts)
-        order = np.argsort(part, kind="stable")
+        order = np.argsort(part.astype(np.uint16) if parts <= 1 << 16 else part, kind="stable")
         part = part[order]
         first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
         value = np.bitwise_xor.reduceat(token[order], first)
@@ -305,40 +309,58 @@ def _verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     return by_slices(both.select("a", "b", "text_a", "text_b"), work, "a long, b long")
 
 
-def _group_pairs(n, node, comp, sketches, most) -> list[tuple[int, int, bool]]:
+def _near_pairs(sig, n, comp, sketches: list[bytes], most: int) -> tuple[np.ndarray, ...]:
     """For each member of a part the nearest ``most`` smaller ones of other components.
 
-    Nearest by bit sketch, among those that it lets pass; the flag says there are more.
+    Rows are sorted by part, then size.  Nearest by bit sketch, among those that it lets
+    pass.  Gives the rows paired, and a row of each part in which there are more.
     """
-    out, length = [], np.array([len(x) for x in sketches])
-    by_length = {x: np.flatnonzero(length == x) for x in set(length.tolist())}
-    bits = {x: np.frombuffer(b"".join([sketches[i] for i in at]), np.uint8).reshape(-1, x)
-            for x, at in by_length.items()}
-    for j, mine in enumerate(sketches):
-        mine, found, far = np.frombuffer(mine, np.uint8), [], []
-        for folded in (False, True):        # sets within reach have this sketch length or half
-            if folded:
-                mine = mine[:len(mine) // 2] ^ mine[len(mine) // 2:]
-            if (at := by_length.get(len(mine))) is None:
-                continue
-            lo, hi = np.searchsorted(n[at], SIMILAR * n[j] - 1e-9), np.searchsorted(at, j)
-            if lo < hi:
-                at = at[lo:hi]
-                apart = np.bitwise_count(bits[len(mine)][lo:hi] ^ mine).sum(1, dtype=np.int64)
-                near = ((apart <= (n[at] + n[j]) * (1 - SIMILAR) / (1 + SIMILAR) + 1e-9)
-                        & (comp[at] != comp[j]))
-                found.append(at[near])
-                far.append(apart[near])
-        if found and len(all_ := np.concatenate(found)):
-            order = np.argsort(np.concatenate(far), kind="stable")
-            out += [(node[i], node[j], len(all_) > most) for i in all_[order[:most]]]
-    return out
+    group = np.cumsum(np.concatenate([[0], sig[1:] != sig[:-1]]))
+    key = group << 40 | n
+    low = np.searchsorted(key, group << 40 | np.ceil(SIMILAR * n - 1e-9).astype(np.int64))
+    length = np.array([len(x) for x in sketches])
+    bits, at = {}, np.zeros(len(n), np.int64)
+    for size in np.unique(length).tolist():
+        own = np.flatnonzero(length == size)
+        at[own] = np.arange(len(own))
+        bits[size] = np.frombuffer(b"".join([sketches[i] for i in own]), np.uint64).reshape(len(own), -1)
+    out, ends = [], np.cumsum(np.arange(len(n)) - low)
+    first = 0
+    while first < len(n):
+        done = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, done + AT_ONCE, "right")))
+        many = np.arange(first, last) - low[first:last]
+        j = np.repeat(np.arange(first, last), many)
+        i = np.repeat(low[first:last] - np.cumsum(many) + many, many) + np.arange(len(j))
+        other = comp[i] != comp[j]
+        i, j, apart = i[other], j[other], np.zeros(np.count_nonzero(other), np.int64)
+        for size in np.unique(length[j]).tolist():
+            for mine in (size, size // 2):     # sets within reach have this sketch length or half
+                if mine not in bits:
+                    continue
+                pairs = np.flatnonzero((length[j] == size) & (length[i] == mine))
+                step = max(1, AT_ONCE * 8 // mine)
+                for some in (pairs[x:x + step] for x in range(0, len(pairs), step)):
+                    large = bits[size][at[j[some]]]
+                    if mine < size:
+                        half = large.shape[1] // 2
+                        large = large[:, :half] ^ large[:, half:]
+                    apart[some] = np.bitwise_count(bits[mine][at[i[some]]] ^ large).sum(1, dtype=np.int64)
+        near = apart <= (n[i] + n[j]) * (1 - SIMILAR) / (1 + SIMILAR) + 1e-9
+        i, j, apart = i[near], j[near], apart[near]
+        order = np.lexsort((i, apart, j))
+        i, j = i[order], j[order]
+        rank = np.arange(len(j)) - np.searchsorted(j, j)
+        out.append((i[rank < most], j[rank < most], j[rank == most]))
+        first = last
+    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
 
 
 def _across(members: DataFrame, classes: DataFrame, comp: DataFrame, most: int) -> DataFrame:
-    """Pairs (a, b, more) that share a part but not a component and pass the bit sketch.
+    """Pairs (a, b) that share a part but not a component and pass the bit sketch.
 
-    A part with two members has had its only pair tested.
+    Rows with a sig instead name the parts that have more.  A part with two members has had
+    its only pair tested.
     """
     known = (members.join(classes.select(F.col("s1").alias("member"), "node", "n"), "member")
              .join(comp, "node", "left").withColumn("component", F.coalesce("component", "node")))
@@ -349,30 +371,31 @@ def _across(members: DataFrame, classes: DataFrame, comp: DataFrame, most: int)
     left = (left.join(classes.select("node", "sketch"), "node").repartition("sig")
             .sortWithinPartitions("sig", "n", "node"))
 
-    def run(frames):
+    def run(batches):
         held = None
-        for pdf in frames:
+        for batch in batches:
+            pdf = batch.to_pandas()
             pdf = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
             sig = pdf["sig"].to_numpy()
             cut = int(np.searchsorted(sig, sig[-1])) if len(sig) else 0
             held = pdf.iloc[cut:]               # the last part may go on in the next batch
-            yield pairs_of(pdf.iloc[:cut])
-        if held is not None:
+            if cut:
+                yield pairs_of(pdf.iloc[:cut])
+        if held is not None and len(held):
             yield pairs_of(held)
 
     def pairs_of(pdf):
         sig, n, node, comp_ = (pdf[c].to_numpy() for c in ("sig", "n", "node", "component"))
-        sketch, out = pdf["sketch"].tolist(), set()
-        ends = np.flatnonzero(np.diff(sig)) + 1
-        for lo, hi in zip([0, *ends], [*ends, len(sig)]):
-            out.update(_group_pairs(n[lo:hi], node[lo:hi], comp_[lo:hi], sketch[lo:hi], most))
-        return pd.DataFrame(list(out), columns=["a", "b", "more"]).astype(
-            {"a": "int64", "b": "int64", "more": "bool"})
+        i, j, more = _near_pairs(sig, n, comp_, pdf["sketch"].tolist(), most)
+        pairs = np.unique(np.stack([np.maximum(node[i], node[j]), np.minimum(node[i], node[j])]), axis=1)
+        more = np.unique(sig[more])
+        here, none = pa.array(pairs[0]), pa.nulls(len(more), pa.int64())
+        return pa.RecordBatch.from_pydict({
+            "a": pa.concat_arrays([here, none]), "b": pa.concat_arrays([pa.array(pairs[1]), none]),
+            "sig": pa.concat_arrays([pa.nulls(len(here), pa.int64()), pa.array(more)])})
 
-    pairs = left.select("sig", "node", "n", "component", "sketch").mapInPandas(
-        run, "a long, b long, more boolean")
-    return (pairs.groupBy(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-            .agg(F.bool_or("more").alias("more")))
+    return left.select("sig", "node", "n", "component", "sketch").mapInArrow(
+        run, "a long, b long, sig long").distinct()
 
 
 def _both(pairs: DataFrame) -> DataFrame:
@@ -400,20 +423,24 @@ def labelled_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     members = parts.where("kind <> 1").select("sig", F.col("node").alias("member")).distinct()
     members, tested = stored(members, "members"), _both(tested)
     # The first round looks at one part in 16: it merges most of what will be merged.
-    at, most, more = members.where(F.pmod("sig", F.lit(16)) == 0), 1, True
+    at = first_parts = members.where(F.pmod("sig", F.lit(16)) == 0)
+    most, more = 1, True
     while more:
-        pairs = _across(at, classes, comp, most).join(tested.withColumn("known", F.lit(True)),
-                                                      ["a", "b"], "left")
-        pairs = stored(pairs, "pairs")
-        fresh = pairs.where("known is null").select("a", "b")
+        found = stored(_across(at, classes, comp, most), "pairs")
+        fresh = stored(found.where("sig is null").select("a", "b").join(tested, ["a", "b"], "left_anti"),
+                       "pairs")
         if fresh.head(1):
             tested = tested.union(fresh)
             links = stored(_verify(fresh, docs, classes), "links")
             if links.head(1):
                 comp = stored(components(links.union(comp.select("node", "component"))), "components")
-        if at is members:
-            most, more = most * RISE, bool(pairs.where("more").head(1))
-        at = members
+        if at is first_parts:
+            at = members
+        else:
+            most *= RISE
+            left_out = found.where("sig is not null").select("sig")
+            more = bool(left_out.head(1))
+            at = members.join(left_out, "sig", "left_semi")
     labels = (classes.join(comp, "node", "left")
               .select("s1", "s2", "n", "id", "text_hash",
                       F.coalesce("component", "node").alias("component")))

@@ -291,6 +291,18 @@ def test_near_duplicates(docs, rows):
     assert kept.columns == docs.columns and kept.where("doc_id in (6, 7, 8, 40)").count() == 1
 
 
+def test_rounds_look_again_only_at_parts_left_open(spark, monkeypatch):
+    """Texts just below the similarity share parts and pass the sketch; none is linked."""
+    base = [f"w{i}" for i in range(400)]
+    texts = [" ".join(base[:x] + [f"v{x}n{i}" for i in range(25)] + base[x + 25:]) for x in range(5, 360, 30)]
+    looked, across = [], jaccard._across
+    monkeypatch.setattr(jaccard, "_across", lambda at, *a: looked.append(at.count()) or across(at, *a))
+    docs = spark.createDataFrame(list(enumerate([*texts, texts[0] + " end"])), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard.near_duplicates(docs).collect()}
+    assert got == {i: i for i in range(len(texts))} | {len(texts): 0}
+    assert len(looked) == 3 and 0 < looked[2] < looked[1]
+
+
 def test_components_of_chain_and_star(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, i) for i in range(101, 130)] + [(7, 7)]
     got = dict(components(spark.createDataFrame(edges, "a long, b long")).collect())
