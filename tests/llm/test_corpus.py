@@ -309,6 +309,13 @@ def test_components_of_chain_and_star(spark):
     assert all(got[i] == 0 for i in range(1, 31)) and all(got[i] == 100 for i in range(101, 130))
 
 
+def test_few_edges_need_no_rounds(spark, monkeypatch):
+    """Under CHUNK edges one task makes the stars, however many tasks they came from."""
+    monkeypatch.setattr(common, "_is_forest", None)
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long").repartition(20)
+    assert dict(components(edges).collect()) == {i: 0 for i in range(1, 41)}
+
+
 @pytest.mark.parametrize("chunk", [3, 1 << 20])
 def test_components_of_random_edges(spark, chunk, monkeypatch):
     monkeypatch.setattr(common, "CHUNK", chunk)
